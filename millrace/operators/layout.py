@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,9 +81,11 @@ def layout_report(df: DataFrame, key: str, n_files: int, low, high, path: str |
     write_sorted(spread, [key, "_spread"], n_files, f"{root}/sorted")
     parts = []
     for name in ("random", "sorted"):
+        ranges = file_ranges(spark, f"{root}/{name}", key)
         scanned = files_scanned(spark, f"{root}/{name}", key, low, high)
-        depth = clustering_depth(file_ranges(spark, f"{root}/{name}", key))
-        parts.append(
-            scanned.join(depth).select(F.lit(name).alias("layout"), "scanned", "total", "avg_depth")
-        )
-    return parts[0].unionByName(parts[1])
+        parts += [
+            scanned.select(F.lit(name).alias("layout"), "scanned", "total"),
+            clustering_depth(ranges).select(F.lit(name).alias("layout"), "avg_depth"),
+        ]
+    report = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return report.groupBy("layout").agg(*[F.max(c).alias(c) for c in ("scanned", "total", "avg_depth")])

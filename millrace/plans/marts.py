@@ -15,6 +15,7 @@ from ..operators.merge import new_rows
 from ..operators.positions import assign_ids
 from ..operators.scd2 import scd2_changes
 from ..operators.tables import overwrite
+from ..session import in_parallel
 from . import staging
 
 # States of each region; the calendar's bounds.
@@ -196,18 +197,30 @@ def backfill(
         return spark.read.parquet(path)
 
     t: dict[str, DataFrame] = {}
-    t["patients"] = put(staging.stage_patients(raw_patients), "staging/patients")
-    enc = t["encounters"] = put(staging.stage_encounters(raw_encounters), "staging/encounters")
-    t["observations"] = put(staging.stage_observations(raw_encounters), "staging/observations")
-
-    t["dim_date"] = put(build_dim_date(spark, *calendar), "marts/dim_date")
-    t["dim_location"] = put(build_dim_location(enc), "marts/dim_location")
-    t["dim_facility"] = put(build_dim_facility(enc, t["dim_location"]), "marts/dim_facility")
-    t["dim_provider"] = put(build_dim_provider(enc), "marts/dim_provider")
-    t["dim_payer"] = put(build_dim_payer(enc), "marts/dim_payer")
-    _, fresh = scd2_changes(empty_dim_patient(spark), t["patients"], "patient_id", TRACKED, batch_ts)
-    versions = assign_ids(fresh, ["patient_id"], "patient_sk")
-    t["dim_patient"] = put(versions, "marts/dim_patient")
+    t["patients"], t["encounters"], t["observations"], t["dim_date"] = in_parallel(
+        spark,
+        lambda: put(staging.stage_patients(raw_patients), "staging/patients"),
+        lambda: put(staging.stage_encounters(raw_encounters), "staging/encounters"),
+        lambda: put(staging.stage_observations(raw_encounters), "staging/observations"),
+        lambda: put(build_dim_date(spark, *calendar), "marts/dim_date"),
+    )
+    enc = t["encounters"]
+
+    def places() -> tuple[DataFrame, DataFrame]:
+        locations = put(build_dim_location(enc), "marts/dim_location")
+        return locations, put(build_dim_facility(enc, locations), "marts/dim_facility")
+
+    def people() -> DataFrame:
+        _, fresh = scd2_changes(empty_dim_patient(spark), t["patients"], "patient_id", TRACKED, batch_ts)
+        return put(assign_ids(fresh, ["patient_id"], "patient_sk"), "marts/dim_patient")
+
+    (t["dim_location"], t["dim_facility"]), t["dim_provider"], t["dim_payer"], t["dim_patient"] = in_parallel(
+        spark,
+        places,
+        lambda: put(build_dim_provider(enc), "marts/dim_provider"),
+        lambda: put(build_dim_payer(enc), "marts/dim_payer"),
+        people,
+    )
     fact = build_fact(enc, {d: t[f"dim_{d}"] for d in DIMENSIONS}, many_versions=False)
     t["fact_encounter"] = put(fact.withColumn("_built_at", batch_ts), "marts/fact_encounter")
     return t

@@ -5,8 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -63,6 +68,22 @@ def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_or_not(df: DataFrame, label: str, rows: int = 500_000) -> DataFrame:
+    """A side to broadcast if it is small: written, counted, and hinted only up to `rows` rows.
+
+    Without the hint the join is planned as usual, so a side that outgrows the bound still works.
+    """
+    stored = materialize(df, label)
+    return F.broadcast(stored) if stored.count() <= rows else stored
+
+
+def in_parallel(spark: SparkSession, *jobs: Callable[[], Any]) -> list[Any]:
+    """Run independent driver steps at once, so small jobs share the executors."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        waiting = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        return [w.result() for w in waiting]
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """(file system, path object) for any URI Spark can write to."""
     jvm = spark.sparkContext._jvm

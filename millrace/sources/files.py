@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.ordering import hwm_filter
-from ..session import hadoop_path, materialize
+from ..session import hadoop_path, materialize, small_or_not
 
 # Texts that stand for NULL in a CSV file.
 NULL_TEXTS = ("", "NULL")
@@ -151,10 +151,12 @@ def read_ndjson_variant(spark: SparkSession, paths: str | Sequence[str], on_erro
     lines = lines.filter(F.trim("value") != "")
     if on_error == "abort":
         return lines.select(F.parse_json("value").alias("v"), *kept)
-    parsed = lines.withColumn("v", F.try_parse_json("value"))
     if on_error == "return_errors":
-        return parsed.filter(F.col("v").isNull()).select("value", *kept)
-    return parsed.filter(F.col("v").isNotNull()).select("v", *kept)
+        return lines.filter(F.try_parse_json("value").isNull()).select("value", *kept)
+    # a filter on the parsed value would be pushed below the projection and parse every line twice;
+    # an array of at most one document drops bad lines with one parse
+    document = F.array_compact(F.array(F.try_parse_json("value")))
+    return lines.select(F.explode(document).alias("v"), *kept)
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], glob: str | None = None) -> DataFrame:
@@ -185,7 +187,7 @@ def with_file_row(lines: DataFrame) -> DataFrame:
         "_source_file", "_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
     )
     return (
-        placed.join(offsets, ["_source_file", "_block"])
+        placed.join(small_or_not(offsets, "blocks"), ["_source_file", "_block"])
         .withColumn("_file_row", F.col("_before") + F.col("_pos") - F.col("_first") + 1)
         .select("value", "_source_file", "_file_row")
     )
