@@ -104,7 +104,7 @@ def main() -> None:
     found: dict[str, dict] = {}
 
     def study() -> None:
-        fanned = layout.fan_out(fact.limit(1024), t["dim_date"], 2000, 42, pad=300)
+        fanned = layout.fan_out(fact.limit(1024).repartition(int(CPUS)), t["dim_date"], 2000, 42, pad=300)
         report = layout.layout_report(fanned, "date_key", 16, 19970101, 19970131)
         found.update({r["layout"]: {"scanned": r["scanned"], "files": r["total"], "depth": round(r["avg_depth"], 2)} for r in report.collect()})
 

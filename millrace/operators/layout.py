@@ -76,9 +76,8 @@ def layout_report(df: DataFrame, key: str, n_files: int, low, high, path: str |
         df.repartition(n_files, F.xxhash64(*df.columns))
         .write.mode("overwrite").parquet(f"{root}/random")
     )
-    # the row hash behind the key lets one hot key fill several files
-    spread = df.withColumn("_spread", F.xxhash64(*df.columns))
-    write_sorted(spread, [key, "_spread"], n_files, f"{root}/sorted")
+    # the sorted copy is made from the first one, so costly inputs are computed once
+    write_sorted(spark.read.schema(df.schema).parquet(f"{root}/random"), [key], n_files, f"{root}/sorted")
     parts = []
     for name in ("random", "sorted"):
         ranges = file_ranges(spark, f"{root}/{name}", key)

@@ -45,9 +45,31 @@ def write_batch(df: DataFrame, batch_id: int, path: str, name: str = "_batch_id"
     )
 
 
+def spread_hot_keys(df: DataFrame, key: str, n_parts: int, name: str = "_spread") -> DataFrame:
+    """A second sort column that is 0 except for keys too big for one of `n_parts` equal parts.
+
+    Those keys (at most `n_parts` of them) get a row hash, so they fill several parts while all
+    other keys stay whole. The counting pass reads the key column only.
+    """
+    counts = df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    total = df.count()
+    hot = [r["_k"] for r in counts.filter(F.col("_n") * n_parts > total).collect()]
+    held = [k for k in hot if k is not None]
+    is_hot = F.col(key).isin(held) if held else F.lit(False)
+    if len(held) < len(hot):
+        is_hot = is_hot | F.col(key).isNull()
+    return df.withColumn(name, F.when(is_hot, F.xxhash64(*df.columns)).otherwise(F.lit(0)).cast("bigint"))
+
+
 def write_sorted(df: DataFrame, keys: Sequence[str], n_files: int, path: str) -> None:
-    """Files that cover disjoint key ranges, so range filters skip most of them."""
-    df.repartitionByRange(n_files, *keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+    """Files that cover disjoint ranges of the first key, so range filters skip most of them.
+
+    Files end where the key changes unless one key outgrows a file; further keys only order rows
+    inside a file.
+    """
+    spread = spread_hot_keys(df, keys[0], n_files)
+    ranged = spread.repartitionByRange(n_files, keys[0], "_spread")
+    ranged.sortWithinPartitions(*keys).drop("_spread").write.mode("overwrite").parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

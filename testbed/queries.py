@@ -19,7 +19,7 @@ from millrace.operators import aggregates, layout, merge, positions, quality, sc
 from millrace.operators.joins import asof_join, with_exists_flag
 from millrace.plans import load, marts, reports, staging
 from millrace.plans.state import LoadState
-from millrace.session import configure, materialize, scratch_path
+from millrace.session import configure, in_parallel, materialize, scratch_path
 from millrace.sources import files, landing, registry, synth, workbook
 from millrace.streaming import alerts, ingest, maintain
 
@@ -602,7 +602,8 @@ def dim_provider_hashed(spark, sf):
 
 def _snapshots(spark, sf) -> list[DataFrame]:
     raw = materialize(raw_patients(spark, sf), "patients")
-    return [staging.stage_patients(raw.filter(F.col("_load_ts") < ntz(t))) for t in BATCHES[:2]] + [staging.stage_patients(raw)]
+    seen = [raw.filter(F.col("_load_ts") < ntz(t)) for t in BATCHES[:2]] + [raw]
+    return in_parallel(spark, *[lambda r=r: materialize(staging.stage_patients(r), "snapshot") for r in seen])
 
 
 def _history(spark, sf) -> DataFrame:
@@ -631,16 +632,16 @@ def scd2_snapshot(spark, sf):
 
 
 def _model(spark, sf) -> dict[str, DataFrame]:
-    enc = _staged(spark, sf)
-    location = materialize(marts.build_dim_location(enc), "location")
-    return {
-        "encounters": enc,
-        "location": location,
-        "facility": marts.build_dim_facility(enc, location),
-        "provider": marts.build_dim_provider(enc),
-        "payer": marts.build_dim_payer(enc),
-        "patient": _history(spark, sf),
-    }
+    enc, patient = in_parallel(spark, lambda: _staged(spark, sf), lambda: _history(spark, sf))
+
+    def places():
+        location = materialize(marts.build_dim_location(enc), "location")
+        return location, marts.build_dim_facility(enc, location)
+
+    (location, facility), provider, payer = in_parallel(
+        spark, places, lambda: marts.build_dim_provider(enc), lambda: marts.build_dim_payer(enc)
+    )
+    return {"encounters": enc, "location": location, "facility": facility, "provider": provider, "payer": payer, "patient": patient}
 
 
 def _fact(m: dict[str, DataFrame]) -> DataFrame:

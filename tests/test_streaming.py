@@ -1,0 +1,159 @@
+from pyspark.sql import functions as F
+
+from millrace.operators.tables import merge_buckets, write_batch, write_buckets
+from millrace.plans import staging
+from millrace.sources import landing
+from millrace.streaming import alerts, ingest, maintain
+
+
+def ts(text):
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def test_each_file_is_loaded_once(spark, tmp_path, rows):
+    (tmp_path / "in").mkdir()
+    raw = str(tmp_path / "raw")
+
+    def read(s, paths):
+        return landing.patients_from_csv(s, paths, ts("2024-01-01"))
+
+    def go():
+        ingest.auto_ingest(spark, str(tmp_path / "in"), "*patients*.csv", read, raw, str(tmp_path / "ck")).awaitTermination()
+        return rows(spark.read.parquet(raw), "patient_id")
+
+    (tmp_path / "in" / "patients_1.csv").write_text("patient_id,city\nP1,Rome\n")
+    (tmp_path / "in" / "notes.txt").write_text("no")
+    assert go() == [("P1",)] == go()
+    (tmp_path / "in" / "patients_2.csv").write_text("City,PATIENT_ID\nOslo,P2\n")
+    assert go() == [("P1",), ("P2",)] == go()
+
+
+def test_no_new_data_no_call(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    calls = []
+    stream = ingest.raw_changes(spark, [str(tmp_path / "t")], "id bigint")
+    for _ in range(2):
+        ingest.run_once(stream, lambda df, i: calls.append(df.count()), str(tmp_path / "ck"))
+    assert calls == [3]
+
+
+def test_two_landing_folders(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "a"))
+    spark.range(2).write.parquet(str(tmp_path / "b"))
+    got = []
+    ingest.run_once(ingest.raw_changes(spark, [str(tmp_path / "a"), str(tmp_path / "b")], "id bigint"), lambda df, i: got.append(df.count()), str(tmp_path / "ck"))
+    assert sum(got) == 5
+
+
+def test_a_replayed_batch_replaces_itself(spark, tmp_path):
+    for n in (3, 4):
+        write_batch(spark.range(n), 0, str(tmp_path / "t"))
+    write_batch(spark.range(2), 1, str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 6
+
+
+def test_merge_touches_only_its_buckets_and_survives_a_crash(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_buckets(spark.range(100).withColumn("v", F.lit(0)), path, ["id"], 8)
+    before = {str(f): f.stat().st_mtime_ns for f in (tmp_path / "t").rglob("*.parquet")}
+
+    def merge(held, delta):
+        return held.filter(~F.col("id").isin([5, 1000])).unionByName(delta)
+
+    delta = spark.createDataFrame([(5, 1), (1000, 1)], "id bigint, v int")
+    merge_buckets(spark, path, delta, ["id"], 8, merge, "b1")
+    table = spark.read.parquet(path)
+    assert table.count() == 101 and table.filter("v = 1").count() == 2
+    kept = {str(f) for f in (tmp_path / "t").rglob("*.parquet") if before.get(str(f)) == f.stat().st_mtime_ns}
+    assert len({f.split("_bucket=")[1][0] for f in before} - {f.split("_bucket=")[1][0] for f in kept}) <= 2
+    assert len(kept) >= len(before) - 2 and kept
+
+    # the pending copy of a batch that died while swapping is what its replay writes
+    write_buckets(spark.createDataFrame([(5, 7)], "id bigint, v int"), f"{path}__pending/b2", ["id"], 8)
+    merge_buckets(spark, path, delta.limit(0), ["id"], 8, merge, "b2")
+    assert spark.read.parquet(path).filter("id = 5").first()["v"] == 7
+    assert not (tmp_path / "t__pending" / "b2").exists()
+
+
+def doc(spark, e, p, start, load, city="Rome"):
+    text = ('{"encounter_id": "%s", "patient_id": "%s", "start": "%s", "stop": "%s", "provider": {"name": "Dr", "facility_id": "F", '
+            '"facility_name": "Fn", "city": "%s", "state": "NY"}, "observations": [{"code": "x", "value": 1}]}' % (e, p, start, start, city))
+    df = spark.createDataFrame([(text,)], "t string")
+    return df.select(F.parse_json("t").alias("v"), F.lit("f").alias("_source_file"), F.lit(1).cast("bigint").alias("_file_row"), ts(load).alias("_load_ts"))
+
+
+def patient(spark, p, city, load):
+    df = spark.createDataFrame([(p, "f", "l", "F", "123-45-6789", city, "NY", "src")], "patient_id string, first_name string, last_name string, gender string, ssn string, city string, state string, _source_file string")
+    return df.withColumn("_load_ts", ts(load)).select(
+        "patient_id", "first_name", "last_name", F.lit(None).cast("date").alias("birth_date"), "gender", "ssn", F.lit(None).cast("string").alias("address"),
+        "city", "state", F.lit(None).cast("string").alias("zip"), F.lit(None).cast("string").alias("phone"), "_source_file", "_load_ts")
+
+
+def test_raw_to_fact(spark, tmp_path, rows):
+    p, e, out, ck = (str(tmp_path / n) for n in ("p", "e", "out", "ck"))
+    clock = {0: "2024-02-01", 1: "2024-03-01"}
+
+    def go():
+        maintain.maintain(spark, [p], [e], out, ck, buckets=4, clock=lambda i: clock.get(i, "2024-04-01")).awaitTermination()
+        return maintain.Warehouse(spark, out, 4)
+
+    write_batch(patient(spark, "P1", "Rome", "2024-01-02"), 0, p)
+    write_batch(doc(spark, "E1", "P1", "2024-01-05T00:00:00", "2024-01-02"), 0, e)
+    w = go()
+    assert rows(w.table("marts/fact_encounter"), "encounter_id", "date_key", "patient_sk") == [("E1", 20240105, 1)]
+
+    # an older record of P1 must not win; the repeated E1 stays as first staged; P1 moves by a newer one
+    write_batch(patient(spark, "P1", "Bern", "2023-01-01").unionByName(patient(spark, "P2", "Kyiv", "2024-01-03")), 1, p)
+    write_batch(doc(spark, "E1", "P2", "2024-01-06T00:00:00", "2024-02-02").unionByName(doc(spark, "E2", "P1", "2024-03-05T00:00:00", "2024-02-02", "Oslo")), 1, e)
+    w = go()
+    assert rows(w.table("staging/patients"), "patient_id", "city") == [("P1", "Rome"), ("P2", "Kyiv")]
+    assert rows(w.table("marts/fact_encounter"), "encounter_id", "patient_sk") == [("E1", 1), ("E2", 1)]
+    assert w.table("staging/observations").count() == 2
+
+    write_batch(patient(spark, "P1", "Oslo", "2024-05-01"), 2, p)
+    write_batch(doc(spark, "E3", "P1", "2024-05-05T00:00:00", "2024-05-01"), 2, e)
+    w = go()
+    go()
+    assert rows(w.table("marts/dim_patient"), "patient_id", "city", "is_current") == [("P1", "Oslo", True), ("P1", "Rome", False), ("P2", "Kyiv", True)]
+    fact = {r["encounter_id"]: r["patient_sk"] for r in w.table("marts/fact_encounter").collect()}
+    assert fact["E3"] not in (fact["E1"], None)
+    assert w.table("marts/dim_location").count() == 2 and w.table("marts/dim_facility").count() == 1
+
+    # the same micro-batch again leaves everything as it is
+    tables = ["staging/patients", "staging/encounters", "staging/observations", "marts/dim_patient", "marts/fact_encounter", "marts/dim_location"]
+    before = {t: rows(w.table(t)) for t in tables}
+    again_p, again_e = patient(spark, "P1", "Oslo", "2024-05-01"), doc(spark, "E3", "P1", "2024-05-05T00:00:00", "2024-05-01")
+    maintain.ingest_patients(w, again_p, 2)
+    maintain.ingest_encounters(w, again_e, 2)
+    maintain.build_marts(w, again_p, 2, ts("2024-04-01"))
+    assert {t: rows(w.table(t)) for t in tables} == before
+
+
+def test_maintained_projection_and_latest(spark, tmp_path, rows):
+    e = str(tmp_path / "e")
+    for i, d in enumerate((doc(spark, "E1", "P1", "2024-01-05T00:00:00", "2024-01-02"), doc(spark, "E2", "P1", "2024-01-06T00:00:00", "2024-01-02"))):
+        write_batch(d, i, e)
+        stream = ingest.raw_changes(spark, [e], maintain.RAW_ENCOUNTER_SCHEMA)
+        maintain.maintain_projection(stream, staging.dt_encounters, str(tmp_path / "dt"), str(tmp_path / "ck")).awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "dt")), "encounter_id") == [("E1",), ("E2",)]
+
+    k = str(tmp_path / "k")
+    schema = "k string, v bigint, at bigint"
+    for i, part in enumerate(([("a", 1, 1), ("b", 1, 5)], [("a", 2, 3), ("b", 2, 4), ("c", 2, 1)])):
+        write_batch(spark.createDataFrame(part, schema), i, k)
+        stream = ingest.raw_changes(spark, [k], schema)
+        maintain.maintain_latest(spark, stream, str(tmp_path / "latest"), ["k"], "at", ["v"], str(tmp_path / "ck2"), schema, 4).awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "latest")), "k", "v") == [("a", 2), ("b", 1), ("c", 2)]
+
+
+def test_alert_windows(spark, tmp_path):
+    rows_ = [("s", "FAILED", "2024-01-01 00:03:00"), ("s", "SUCCEEDED", "2024-01-01 01:00:00"), ("s", "FAILED", "2024-01-01 00:04:59")]
+    history = spark.createDataFrame(rows_, "step string, state string, t string").select("step", "state", F.col("t").cast("timestamp_ntz").alias("scheduled_time"))
+    got = {str(r["alerted_at"]): r["failures"] for r in alerts.failure_alert(history).collect()}
+    assert got == {"2024-01-01 00:05:00": 2, "2024-01-01 00:10:00": 2}
+    history.write.parquet(str(tmp_path / "h"))
+    stream = spark.readStream.schema(history.schema).parquet(str(tmp_path / "h"))
+    out = str(tmp_path / "out")
+    (alerts.failure_alert(stream).writeStream.outputMode("complete").foreachBatch(lambda df, i: df.write.mode("overwrite").parquet(out))
+     .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination())
+    assert {str(r["alerted_at"]): r["failures"] for r in spark.read.parquet(out).collect()} == got
