@@ -21,7 +21,7 @@ from millrace.operators import layout, quality, tables  # noqa: E402
 from millrace.operators.aggregates import observation_stats  # noqa: E402
 from millrace.plans import load, marts, reports, staging  # noqa: E402
 from millrace.plans.state import LoadState  # noqa: E402
-from millrace.session import configure, scratch_path  # noqa: E402
+from millrace.session import clean_scratch, configure, scratch_path  # noqa: E402
 from millrace.sources import landing, synth  # noqa: E402
 from millrace.streaming import maintain  # noqa: E402
 from testbed.adapter import encounter_documents, raw_patients  # noqa: E402
@@ -104,7 +104,7 @@ def main() -> None:
     found: dict[str, dict] = {}
 
     def study() -> None:
-        fanned = layout.fan_out(fact.limit(1024).repartition(int(CPUS)), t["dim_date"], 2000, 42, pad=300)
+        fanned = layout.fan_out(fact.limit(1024).repartition(int(CPUS)), t["dim_date"], 500, 42, pad=300)
         report = layout.layout_report(fanned, "date_key", 16, 19970101, 19970131)
         found.update({r["layout"]: {"scanned": r["scanned"], "files": r["total"], "depth": round(r["avg_depth"], 2)} for r in report.collect()})
 
@@ -121,11 +121,13 @@ def main() -> None:
     for name in ("patients_dedup_masked", "scd2_native", "merge_upsert", "hwm_chunks", "fact_native", "asof_sorted"):
         timed(name, lambda: QUERIES[name](spark, SF))
 
-    print(json.dumps({
+    result = json.dumps({
         "metric": "total time of stages and headline queries", "value": round(sum(times.values()), 3), "unit": "sec",
         "queries": times, "sf": SF.rsplit("sf", 1)[-1], "cpus": int(CPUS), "layout": found,
         "rows": {"encounter_documents": encounters.count(), "observations": t["observations"].count(), "facts": fact.count()},
-    }))
+    })
+    clean_scratch(spark)
+    print(result)
 
 
 if __name__ == "__main__":

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """Key equality where NULL matches NULL; still planned as an equi-join."""
@@ -107,9 +109,6 @@ def asof_join_sorted(
     many ranges. Inside a range the last version seen carries forward; across ranges only the last
     version of each range (one row per task) has to be handed on.
     """
-    from ..session import materialize
-
-    spark = fact.sparkSession
     row = F.struct(*[F.col(f"`{c}`") for c in fact.columns])
     version = F.struct(F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"), *payload)
     facts = fact.select(
@@ -120,11 +119,10 @@ def asof_join_sorted(
         F.col(key).alias("_key"), F.col(valid_from).alias("_ts"), F.lit(0).alias("_side"),
         version.alias("_version"), F.lit(0).cast("bigint").alias("_spread"),
     )
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ["_key", "_ts", "_side", "_spread"]
     both = facts.unionByName(versions, allowMissingColumns=True)
     stored = materialize(
-        both.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id()), "asof"
+        both.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "asof"
     )
 
     # one row per range: its last version and that version's key; then the last one before each range

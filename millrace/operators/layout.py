@@ -21,9 +21,9 @@ def file_ranges(spark: SparkSession, path: str, key: str) -> DataFrame:
     )
 
 
-def files_scanned(spark: SparkSession, path: str, key: str, low, high) -> DataFrame:
+def files_scanned(ranges: DataFrame, low, high) -> DataFrame:
     """Files whose key range meets the filter, and all files."""
-    return file_ranges(spark, path, key).agg(
+    return ranges.agg(
         F.count_if((F.col("high") >= F.lit(low)) & (F.col("low") <= F.lit(high))).alias("scanned"),
         F.count(F.lit(1)).alias("total"),
     )
@@ -81,7 +81,7 @@ def layout_report(df: DataFrame, key: str, n_files: int, low, high, path: str |
     parts = []
     for name in ("random", "sorted"):
         ranges = file_ranges(spark, f"{root}/{name}", key)
-        scanned = files_scanned(spark, f"{root}/{name}", key, low, high)
+        scanned = files_scanned(ranges, low, high)
         parts += [
             scanned.select(F.lit(name).alias("layout"), "scanned", "total"),
             clustering_depth(ranges).select(F.lit(name).alias("layout"), "avg_depth"),

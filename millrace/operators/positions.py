@@ -21,8 +21,8 @@ def running_total(df: DataFrame, order: Sequence[str], totals: Mapping[str, Colu
     """
     added = [c for c in totals]
     ranged = df.select("*", *[e.alias(f"_w_{n}") for n, e in totals.items()])
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = ranged.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id())
+    # without a number AQE may join small neighbouring ranges, which keeps their order
+    ranged = ranged.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
     stored = materialize(ranged, "ranges")
 
     sums = stored.groupBy("_range").agg(*[F.sum(f"_w_{c}").alias(f"_s_{c}") for c in added])

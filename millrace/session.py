@@ -54,6 +54,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/millrace/{app}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def clean_scratch(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables; call it when its DataFrames are done with."""
+    fs, p = hadoop_path(spark, f"{shared_dir(spark)}/millrace/{spark.sparkContext.applicationId}")
+    fs.delete(p, True)
+
+
 def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write once to the shared folder and read back: cuts lineage and fixes row order.
 

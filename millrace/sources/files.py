@@ -70,21 +70,29 @@ def _header(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def read_csv_by_name(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def read_csv_by_name(spark: SparkSession, paths: Sequence[str], columns: Sequence[str],
+                     one_header: bool = False) -> DataFrame:
     """CSV files as text columns matched by header name, any order, any case.
 
     Spark maps a multi-file CSV read by position, so files are grouped by their header line (one
     line read per file, in parallel) and each group is one native CSV read. Columns a file lacks are
     NULL, unknown ones are dropped, short and long rows are tolerated; '' and NULL become NULL.
-    Adds `_source_file`.
+    Adds `_source_file`. `one_header` says that all files share the first one's header, which saves
+    opening each of them.
     """
+    if one_header and paths:
+        line = _header(spark, paths[0])
+        return _csv_groups(spark, {line: list(paths)} if line else {}, columns)
     with ThreadPoolExecutor(32) as pool:
         headers = list(pool.map(lambda f: _header(spark, f), paths))
     groups: dict[str, list[str]] = {}
     for path, line in zip(paths, headers):
         if line:
             groups.setdefault(line, []).append(path)
+    return _csv_groups(spark, groups, columns)
 
+
+def _csv_groups(spark: SparkSession, groups: dict[str, list[str]], columns: Sequence[str]) -> DataFrame:
     wanted = {c.lower(): c for c in columns}
     out: DataFrame | None = None
     for line, files in sorted(groups.items()):

@@ -414,6 +414,10 @@ def sql() -> dict[str, str]:
     o["fan_out"] = f"""WITH {ENC}, {latest_enc('e')}, {CALENDAR}, r AS (SELECT date_key, row_number() OVER (ORDER BY date_key) AS rn FROM dim_date),
         k AS (SELECT n, {draw_sql('n', 1, 42, '(SELECT count(*) FROM dim_date)')} + 1 AS rk FROM range(3) t(n))
         SELECT encounter_id || '-' || n AS encounter_id, date_key, duration_minutes FROM e CROSS JOIN k JOIN r ON rn = rk"""
+    spans = "WITH s AS (SELECT l_suppkey, min(k) AS low, max(k) AS high FROM (SELECT l_suppkey, CAST(strftime(l_shipdate, '%Y%m%d') AS BIGINT) AS k FROM lineitem) GROUP BY 1) "
+    o["layout_pruning"] = spans + "SELECT count(*) FILTER (high >= 19950101 AND low <= 19950131) AS scanned, count(*) AS total FROM s"
+    o["clustering_depth"] = spans + """SELECT count(*) / (SELECT count(*) FROM s) AS avg_depth, (SELECT count(*) FROM s) AS n_files
+        FROM s a JOIN s b ON b.low <= a.high AND a.low <= b.high"""
     o["top_charges"] = f"WITH {ENC}, {latest_enc('e')} SELECT encounter_id, total_charge FROM e ORDER BY total_charge DESC NULLS LAST, encounter_id LIMIT 100"
     o["synth_patients"] = _synth_patients()
     o["synth_encounters"] = _synth_encounters()

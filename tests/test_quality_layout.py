@@ -56,7 +56,7 @@ def test_sorted_layout_is_pruned_even_with_a_hot_key(spark, tmp_path):
 
 def test_files_scanned(spark, tmp_path):
     tables.write_sorted(spark.range(1000), ["id"], 10, str(tmp_path / "t"))
-    got = layout.files_scanned(spark, str(tmp_path / "t"), "id", 5000, 6000).first()
+    got = layout.files_scanned(layout.file_ranges(spark, str(tmp_path / "t"), "id"), 5000, 6000).first()
     assert (got["scanned"], got["total"]) == (0, 10)
 
 
