@@ -25,12 +25,7 @@ def running_total(df: DataFrame, order: Sequence[str], totals: Mapping[str, Colu
     ranged = ranged.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
     stored = materialize(ranged, "ranges")
 
-    sums = stored.groupBy("_range").agg(*[F.sum(f"_w_{c}").alias(f"_s_{c}") for c in added])
-    # bounded by the number of shuffle partitions, so one ordered window over it is small
-    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sums.select(
-        "_range", *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in added]
-    )
+    offsets = _offsets(stored, {c: F.sum(f"_w_{c}") for c in added})
     inside = W.partitionBy("_range").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     return (
         stored.select("*", *[F.sum(f"_w_{c}").over(inside).alias(f"_t_{c}") for c in added])
@@ -39,9 +34,28 @@ def running_total(df: DataFrame, order: Sequence[str], totals: Mapping[str, Colu
     )
 
 
+def _offsets(stored: DataFrame, sums: Mapping[str, Column]) -> DataFrame:
+    """What lies before each range: one row per range, bounded by the number of shuffle partitions,
+    so one ordered window over it and its broadcast are small."""
+    per_range = stored.groupBy("_range").agg(*[e.alias(f"_s_{c}") for c, e in sums.items()])
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    return per_range.select(
+        "_range", *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums]
+    )
+
+
 def with_rank(df: DataFrame, order: Sequence[str], name: str = "rank") -> DataFrame:
-    """1-based global row number over unique `order` columns."""
-    return running_total(df, order, {name: F.lit(1)})
+    """1-based global row number over unique `order` columns.
+
+    As `running_total` of ones, but the place inside a sorted range is already known when the range
+    is written, so the second pass only adds the offset and does not shuffle.
+    """
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    stored = materialize(ranged.select("*", F.spark_partition_id().alias("_range"), place.alias("_place")), "ranks")
+    offsets = _offsets(stored, {"n": F.count(F.lit(1))})
+    rank = (F.col("_o_n") + F.col("_place") + 1).cast("bigint").alias(name)
+    return stored.join(F.broadcast(offsets), "_range").select(*df.columns, rank)
 
 
 def assign_ids(df: DataFrame, keys: Sequence[str], id_name: str, start: int = 1) -> DataFrame:

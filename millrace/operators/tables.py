@@ -34,10 +34,10 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     spark.catalog.refreshByPath(path)
 
 
-def write_batch(df: DataFrame, batch_id: int, path: str, name: str = "_batch_id") -> None:
+def write_batch(df: DataFrame, batch: str, path: str, name: str = "_batch_id") -> None:
     """Land a batch in its own partition; a replay of the batch replaces it."""
     (
-        df.withColumn(name, F.lit(batch_id).cast("bigint"))
+        df.withColumn(name, F.lit(str(batch)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(name)

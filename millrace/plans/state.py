@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from datetime import date, datetime, timezone
 from decimal import Decimal
 from typing import Any
@@ -92,7 +93,7 @@ class LoadState:
         return decode_hwm(r.get("hwm_type", ""), r.get("hwm"))
 
     def begin(self, source: str, table: str) -> dict:
-        r = {"rows": 0, "hwm": None, **self.record(source, table), "status": "in_progress"}
+        r = {"rows": 0, "hwm": None, "load_no": 0, "series": uuid.uuid4().hex[:8], **self.record(source, table), "status": "in_progress"}
         self._write(source, table, r)
         return r
 
@@ -111,7 +112,8 @@ class LoadState:
         """Forget mark and count, so the next load starts over; landed loads keep their numbers."""
         r = self.record(source, table)
         if r:
-            self._write(source, table, {"rows": 0, "hwm": None, "status": "reset", "load_no": r.get("load_no", 0)})
+            kept = {k: r[k] for k in ("load_no", "series") if k in r}
+            self._write(source, table, {"rows": 0, "hwm": None, "status": "reset", **kept})
 
     def import_legacy(self, source: str, path: str) -> int:
         """Take over a one-file state {table: record or bare mark}."""

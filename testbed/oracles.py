@@ -298,6 +298,13 @@ def sql() -> dict[str, str]:
     as_stored = (f"WITH {PAT}, {latest_pat('s')} SELECT patient_id, first_name, last_name, birth_date, gender, city, state, "
                  "ssn AS ssn_masked, phone AS phone_masked FROM s")
     o["dt_patients"] = o["stg_patients"] = as_stored
+    parts = [f"SELECT encounter_id, provider_name, started_at, '{code}' AS obs_code, {c} AS obs_value FROM enc "
+             f"WHERE {c} > 0 AND NOT (l_linenumber IN (6, 7) AND l_linestatus = 'F')"
+             for code, c in (("QTY", "l_quantity"), ("PRICE", "l_extendedprice"), ("DISC", "l_discount"), ("TAX", "l_tax"))]
+    o["sql_documents"] = E + " UNION ALL ".join(parts)
+    o["sql_views"] = f"""WITH {PAT}, {latest_pat('p')}, {ENC} SELECT gender, encounter_class, count(*) AS encounters,
+        count(*) FILTER ({SSN} LIKE 'XXX-XX-%') AS with_ssn, count(*) FILTER (phone IS NOT NULL) AS phone_stable
+        FROM enc LEFT JOIN p ON p.patient_id = enc.patient_id GROUP BY 1, 2"""
     o["mask_ssn"] = P + f"SELECT patient_id, src AS source_file, {SSN} AS masked, {SSN} AS masked_sql FROM pat"
     o["mask_phone"] = P + f"SELECT patient_id, src AS source_file, {PHONE} AS masked, {PHONE} AS masked_sql FROM pat"
     o["mask_email"] = f"""WITH c AS (SELECT c_custkey, {EMAIL_TEXT} AS email FROM customer)

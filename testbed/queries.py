@@ -17,7 +17,7 @@ from millrace.functions.ordering import hwm_filter
 from millrace.functions.variant import vget
 from millrace.operators import aggregates, layout, merge, positions, quality, scd2, tables
 from millrace.operators.joins import asof_join, with_exists_flag
-from millrace.plans import load, marts, reports, staging
+from millrace.plans import load, marts, reports, staging, views
 from millrace.plans.state import LoadState
 from millrace.session import configure, in_parallel, materialize, scratch_path
 from millrace.sources import files, landing, registry, synth, workbook
@@ -126,6 +126,27 @@ def stg_patients(spark, sf):
     return staging.stg_patients(raw_patients(spark, sf))
 
 
+@query
+def sql_documents(spark, sf):
+    """Paths, casts and unnesting in SQL text over the registered RAW view."""
+    views.register_views(spark, raw_patients(spark, sf), raw_encounters(spark, sf))
+    return spark.sql("""
+        SELECT e.v:encounter_id::string AS encounter_id, e.v:provider.name::string AS provider_name,
+               e.v:start::timestamp_ntz AS started_at, o.value:code::string AS obs_code, o.value:value::double AS obs_value
+        FROM encounters_json e, LATERAL variant_explode(e.v:observations) o""")
+
+
+@query
+def sql_views(spark, sf):
+    """A report in SQL text over the staging views, joining masked patients."""
+    views.register_views(spark, raw_patients(spark, sf), raw_encounters(spark, sf), _log(spark, sf))
+    return spark.sql("""
+        SELECT p.gender, e.encounter_class, count(*) AS encounters, count_if(p.ssn_masked LIKE 'XXX-XX-%') AS with_ssn,
+               count_if(mask_phone(p.phone_masked) = p.phone_masked) AS phone_stable
+        FROM v_encounters_flat e LEFT JOIN v_patients_dedup p ON p.patient_id = e.patient_id
+        GROUP BY p.gender, e.encounter_class""")
+
+
 # --- masking and governance ----------------------------------------------------------------------
 
 
@@ -268,7 +289,7 @@ def incremental_load(spark, sf):
     load.load_table(spark, source, t, state, raw, "pepper")
     # nothing is new the third time
     load.load_table(spark, source, t, state, raw, "pepper")
-    return spark.read.parquet(f"{raw}/events_raw").withColumn("load_no", F.col("_load").cast("bigint")).drop("_load")
+    return spark.read.parquet(f"{raw}/events_raw").withColumn("load_no", F.split("_load", "-")[1].cast("bigint")).drop("_load")
 
 
 @query
@@ -783,7 +804,7 @@ def _drops(df: DataFrame, path: str):
     """Land the early part, hand over, land the late part, hand over."""
     early = F.col("_load_ts").isNull() | (F.col("_load_ts") < ntz(CUT))
     for i, where in enumerate((early, F.coalesce(~early, F.lit(False)))):
-        tables.write_batch(df.filter(where), i, path)
+        tables.write_batch(df.filter(where), str(i), path)
         yield i
 
 

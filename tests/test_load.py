@@ -71,6 +71,12 @@ def test_a_load_that_dies_before_its_checkpoint_is_replaced(spark, job, monkeypa
     assert sorted(r[0] for r in spark.read.parquet(job.raw).select("patient_id").collect()) == [f"PAT-{i:06d}" for i in range(1, 7)]
 
 
+def test_a_lost_checkpoint_appends(spark, job, tmp_path):
+    job(3)
+    load.load_table(spark, job.source, job.table, LoadState(spark, str(tmp_path / "other")), str(tmp_path / "raw"))
+    assert spark.read.parquet(job.raw).count() == 6
+
+
 def test_hostile_name_and_unknown_policy_stop_first(spark, job):
     csv_before = job.state.record("csv", "patients")
     for t in (load.TableLoad("patients; DROP TABLE x", "id"), load.TableLoad("p", "id", "a b"), load.TableLoad("p", "id --"),

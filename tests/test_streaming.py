@@ -33,7 +33,7 @@ def test_no_new_data_no_call(spark, tmp_path):
     calls = []
     stream = ingest.raw_changes(spark, [str(tmp_path / "t")], "id bigint")
     for _ in range(2):
-        ingest.run_once(stream, lambda df, i: calls.append(df.count()), str(tmp_path / "ck"))
+        ingest.run_once(stream, lambda df, i, name: calls.append(df.count()), str(tmp_path / "ck"))
     assert calls == [3]
 
 
@@ -41,7 +41,7 @@ def test_two_landing_folders(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "a"))
     spark.range(2).write.parquet(str(tmp_path / "b"))
     got = []
-    ingest.run_once(ingest.raw_changes(spark, [str(tmp_path / "a"), str(tmp_path / "b")], "id bigint"), lambda df, i: got.append(df.count()), str(tmp_path / "ck"))
+    ingest.run_once(ingest.raw_changes(spark, [str(tmp_path / "a"), str(tmp_path / "b")], "id bigint"), lambda df, i, name: got.append(df.count()), str(tmp_path / "ck"))
     assert sum(got) == 5
 
 
@@ -123,11 +123,18 @@ def test_raw_to_fact(spark, tmp_path, rows):
     tables = ["staging/patients", "staging/encounters", "staging/observations", "marts/dim_patient", "marts/fact_encounter", "marts/dim_location"]
     before = {t: rows(w.table(t)) for t in tables}
     again_p, again_e = patient(spark, "P1", "Oslo", "2024-05-01"), doc(spark, "E3", "P1", "2024-05-05T00:00:00", "2024-05-01")
-    maintain.ingest_patients(w, again_p, 2)
-    maintain.ingest_encounters(w, again_e, 2)
-    maintain.build_marts(w, again_p, 2, ts("2024-04-01"))
+    last = spark.read.parquet(w.path("marts/fact_encounter")).filter("encounter_id = 'E3'").first()["_batch_id"]
+    maintain.ingest_patients(w, again_p, last)
+    maintain.ingest_encounters(w, again_e, last)
+    maintain.build_marts(w, again_p, last, ts("2024-04-01"))
     assert {t: rows(w.table(t)) for t in tables} == before
 
+    # a query started over without its checkpoint adds what is new and loses nothing
+    write_batch(doc(spark, "E4", "P2", "2024-05-06T00:00:00", "2024-05-02"), 3, e)
+    maintain.maintain(spark, [p], [e], out, str(tmp_path / "ck2"), buckets=4, clock=lambda i: "2024-06-01").awaitTermination()
+    assert rows(w.table("marts/fact_encounter"), "encounter_id") == [("E1",), ("E2",), ("E3",), ("E4",)]
+    assert rows(w.table("marts/dim_patient")) == before["marts/dim_patient"]
+
 
 def test_maintained_projection_and_latest(spark, tmp_path, rows):
     e = str(tmp_path / "e")
