@@ -65,7 +65,7 @@ def _header(spark: SparkSession, path: str) -> str:
     try:
         raw = codec.createInputStream(stream) if codec is not None else stream
         line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(raw, "UTF-8")).readLine()
-        return (line or "").lstrip("﻿")
+        return (line or "").lstrip("\ufeff")
     finally:
         stream.close()
 
@@ -100,7 +100,7 @@ def _csv_groups(spark: SparkSession, groups: dict[str, list[str]], columns: Sequ
         # two headers of one file that differ in case only would be ambiguous
         at: dict[str, int] = {}
         for i, c in enumerate(df.columns):
-            at.setdefault(c.strip().lower(), i)
+            at.setdefault(c.lstrip("\ufeff").strip().lower(), i)
         renamed = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
         cells = []
         for low, name in wanted.items():

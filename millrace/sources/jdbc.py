@@ -47,7 +47,12 @@ def jdbc_url(kind: str, source: Mapping[str, Any]) -> str:
 
 def jdbc_options(kind: str, source: Mapping[str, Any]) -> dict[str, str]:
     """Connection options; a set fetch size keeps the cursor streaming on the server side."""
-    options = {"url": jdbc_url(kind, source), "fetchsize": str(source.get("fetchsize", 10000))}
+    options = {
+        "url": jdbc_url(kind, source),
+        "fetchsize": str(source.get("fetchsize", 10000)),
+        # times without zone stay so, as in RAW
+        "preferTimestampNTZ": "true",
+    }
     if kind in DRIVERS:
         options["driver"] = source.get("driver", DRIVERS[kind])
     if kind == "mysql":

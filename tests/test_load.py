@@ -77,6 +77,22 @@ def test_a_lost_checkpoint_appends(spark, job, tmp_path):
     assert spark.read.parquet(job.raw).count() == 6
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("type_", ["timestamp", "timestamp_ntz", "date", "decimal(10,2)", "double"])
+def test_marks_of_every_type_resume(spark, tmp_path, zone, type_):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        values = ["2024-01-01 23:30:00.000001", "2024-07-01 01:30:00"] if type_[0] in "t" else ["2024-01-01", "2024-07-01"] if type_ == "date" else ["1.25", "10.5"]
+        df = spark.createDataFrame([(v,) for v in values], "v string").selectExpr(f"cast(v as {type_}) as v")
+        df.limit(1).write.parquet(str(tmp_path / "t.parquet"))
+        state, src, t = LoadState(spark, str(tmp_path / "s")), {"type": "parquet", "root": str(tmp_path)}, load.TableLoad("t", "v")
+        assert load.load_table(spark, src, t, state, str(tmp_path / "raw")).rows_written == 1
+        df.write.mode("overwrite").parquet(str(tmp_path / "t.parquet"))
+        assert [load.load_table(spark, src, t, state, str(tmp_path / "raw")).rows_written for _ in range(2)] == [1, 0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_hostile_name_and_unknown_policy_stop_first(spark, job):
     csv_before = job.state.record("csv", "patients")
     for t in (load.TableLoad("patients; DROP TABLE x", "id"), load.TableLoad("p", "id", "a b"), load.TableLoad("p", "id --"),

@@ -43,11 +43,19 @@ def test_csv_by_name(spark, tmp_path, rows):
     (tmp_path / "a.csv").write_text('id,Name,city\n1,"Smith, ""J""",NULL\n2,,Rome\n3\n4,x,y,surplus\n')
     (tmp_path / "b.csv").write_text('CITY,ID,other\n"",5,q\nParis,6,q\n')
     (tmp_path / "c.csv").write_text("")
+    (tmp_path / "d.csv").write_text("\ufeffID,Name\n7,Z\n", encoding="utf-8")
     got = files.read_csv_by_name(spark, files.list_files(spark, str(tmp_path), r".*[.]csv"), ["id", "name", "city"])
     assert rows(got, "id", "name", "city") == [
-        ("1", 'Smith, "J"', None), ("2", None, "Rome"), ("3", None, None), ("4", "x", "y"), ("5", None, None), ("6", None, "Paris")
+        ("1", 'Smith, "J"', None), ("2", None, "Rome"), ("3", None, None), ("4", "x", "y"), ("5", None, None), ("6", None, "Paris"), ("7", "Z", None)
     ]
-    assert {r[0].rsplit("/", 1)[1] for r in got.select("_source_file").collect()} == {"a.csv", "b.csv"}
+    assert {r[0].rsplit("/", 1)[1] for r in got.select("_source_file").collect()} == {"a.csv", "b.csv", "d.csv"}
+
+
+def test_csv_with_one_header(spark, tmp_path):
+    for n in "ab":
+        (tmp_path / f"{n}.csv").write_text(f"ID,x\n{n},1\n")
+    got = files.read_csv_by_name(spark, files.list_files(spark, str(tmp_path)), ["id"], one_header=True)
+    assert sorted(r["id"] for r in got.collect()) == ["a", "b"]
 
 
 def test_files_chosen_by_pattern(spark, tmp_path):
