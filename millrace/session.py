@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
@@ -105,3 +106,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def local_uri(path: str) -> str:
     """Absolute form of a plain local path; URIs pass through."""
     return path if "://" in path or path.startswith("file:") else os.path.abspath(path)
+
+
+def ship_package(spark: SparkSession, *packages: str) -> None:
+    """Give the Python workers these packages' code (no data); only for operators that run Python."""
+    shipped = spark.sparkContext.__dict__.setdefault("_millrace_shipped", set())
+    if packages in shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    target = os.path.join(tempfile.mkdtemp(prefix="millrace-"), f"{'_'.join(packages)}_code.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for package in packages:
+            for folder, _, names in os.walk(os.path.join(root, package)):
+                for name in names:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        archive.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(target)
+    shipped.add(packages)

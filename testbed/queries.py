@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import zipfile
 from collections.abc import Callable
 from datetime import datetime
 
@@ -19,7 +17,7 @@ from millrace.operators import aggregates, layout, merge, positions, quality, sc
 from millrace.operators.joins import asof_join, with_exists_flag
 from millrace.plans import load, marts, reports, staging, views
 from millrace.plans.state import LoadState
-from millrace.session import configure, in_parallel, materialize, scratch_path
+from millrace.session import configure, in_parallel, materialize, scratch_path, ship_package
 from millrace.sources import files, landing, registry, synth, workbook
 from millrace.streaming import alerts, ingest, maintain
 
@@ -43,25 +41,6 @@ def ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Give Python workers the package, for the two sources that run in Python."""
-    if getattr(spark.sparkContext, "_millrace_shipped", False):
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    import tempfile
-
-    target = os.path.join(tempfile.mkdtemp(prefix="millrace-"), "millrace_src.zip")
-    with zipfile.ZipFile(target, "w") as z:
-        for package in ("millrace", "testbed"):
-            for folder, _, names in os.walk(os.path.join(root, package)):
-                for n in names:
-                    if n.endswith(".py"):
-                        full = os.path.join(folder, n)
-                        z.write(full, os.path.relpath(full, root))
-    spark.sparkContext.addPyFile(target)
-    spark.sparkContext._millrace_shipped = True
-
-
 # --- staging -------------------------------------------------------------------------------------
 
 
@@ -452,7 +431,7 @@ def file_load(spark, sf):
 
 def _q_paged_api(spark, sf):
     """Customers served as pages of 250 rows; a page is the only group that is gathered."""
-    ship_package(spark)
+    ship_package(spark, "millrace", "testbed")
     size, root = 250, scratch_path(spark, "api")
     c = table(spark, sf, "customer")
     ranked = positions.with_rank(c, ["c_custkey"])
@@ -474,7 +453,7 @@ query(_q_paged_api)
 
 def _q_workbook(spark, sf):
     """Customers written as workbooks by the tasks, read back after mark 7 in numeric order."""
-    ship_package(spark)
+    ship_package(spark, "millrace", "testbed")
     root = scratch_path(spark, "books")
     c = table(spark, sf, "customer").select(F.col("c_custkey").cast("string"), "c_name", "c_mktsegment")
 

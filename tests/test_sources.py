@@ -151,9 +151,9 @@ def page_folder(tmp_path, data, size):
 
 @pytest.fixture
 def shipped(spark):
-    from testbed.queries import ship_package
+    from millrace.session import ship_package
 
-    ship_package(spark)
+    ship_package(spark, "millrace", "testbed")
 
 
 @pytest.mark.parametrize("page,tasks", [(2, 64), (3, 2), (100, 1)])
