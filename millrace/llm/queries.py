@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import configure
-from . import chat, mixing, sharding
+from ..session import configure, materialize
+from . import chat, mixing, pii, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,6 +47,18 @@ def op7_extendible_shards(spark, sf):
     return shards.select("doc_id", "shard", F.col("depth").cast("bigint").alias("depth"), "page", "row_bytes", "shard_bytes")
 
 
+@query
+def op9_personal_data(spark, sf):
+    docs = table(spark, sf, "documents")
+    found = materialize(docs.select("doc_id", pii.candidates(F.coalesce("text", F.lit(""))).alias("cands")), "candidates")
+    model = pii.fit(found)
+    spans = found.select("doc_id", pii.strict_spans(F.col("cands")).alias("_base"), pii.all_spans(F.col("cands"), model).alias("_all"))
+    counts = [F.size(F.filter("_base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    return spans.select(
+        "doc_id", *counts, F.sha2(pii.spans_text(F.col("_base")), 256).alias("base_sha256"), pii.spans_text(F.col("_all")).alias("spans")
+    )
+
+
 @query
 def op10_source_mix(spark, sf):
     mixed = mixing.mix(table(spark, sf, "documents").select("doc_id", "text", "source"))
