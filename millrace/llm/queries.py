@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, materialize
-from . import chat, mixing, pii, sharding
+from . import chat, mixing, pii, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,6 +47,11 @@ def op7_extendible_shards(spark, sf):
     return shards.select("doc_id", "shard", F.col("depth").cast("bigint").alias("depth"), "page", "row_bytes", "shard_bytes")
 
 
+@query
+def op8_simhash(spark, sf):
+    return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
 @query
 def op9_personal_data(spark, sf):
     docs = table(spark, sf, "documents")
