@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import configure, materialize
-from . import chat, mixing, pii, sharding, simhash, spm, tokens
+from ..session import configure, materialize, ship_package
+from . import chat, mixing, pii, quality, sharding, simhash, spm, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -59,6 +59,16 @@ def op3_sentencepiece(spark, sf):
     return spm.encode_documents(docs, model_file("piece_bpe_32k.model")).drop("text")
 
 
+@query
+def op5_quality(spark, sf):
+    ship_package(spark, "millrace")
+    stats = quality.text_statistics(F.col("text")).alias("stats")
+    found = materialize(table(spark, sf, "documents").select("doc_id", stats), "statistics")
+    model = quality.fit(found, table(spark, sf, "labels"))
+    scored = found.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), quality.scores(model, F.col("stats")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+
+
 @query
 def op6_token_segments(spark, sf):
     with open(tokenizer_file("word_bpe_49k.json"), encoding="utf-8") as f:
