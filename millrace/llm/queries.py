@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, materialize, ship_package
-from . import chat, mixing, pii, quality, sharding, simhash, spm, tokens
+from . import ann, chat, mixing, pii, quality, sharding, simhash, spm, tokens, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,6 +41,19 @@ def op1_chat_format(spark, sf):
     return chat.digests(chat.read_back(chat.format_turns(turns)))
 
 
+@query
+def op2_nearest(spark, sf):
+    return ann.nearest(table(spark, sf, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
+@query
+def op4_exact_top_k(spark, sf):
+    def whole(x):
+        return F.floor(F.lit(256) * x).cast("double")
+
+    return topk.exact_top_k(table(spark, sf, "embeddings"), F.col("id") % 50 == 0, 5, component=whole, score=F.col("score").cast("bigint"))
+
+
 def tokenizer_file(name: str) -> str:
     """Path of a public tokenizer's file; the files are not part of this repository."""
     import public_tokenizers
