@@ -122,7 +122,7 @@ def repeat_rows(docs: DataFrame, mixed: DataFrame, seed: str = "mix") -> DataFra
     """
     last = mixed.groupBy(F.col("source").alias("_source")).agg(F.first("epochs").alias("_epochs"), F.max("_chosen").alias("_last"))
     last = materialize(last, "cutoffs")
-    row = docs.select(F.struct(*docs.columns).alias("_row"))
+    row = docs.select(F.struct("*").alias("_row"))
     text, doc_id = F.col("_row.text"), F.col("_row.doc_id")
     key = exponential_key(doc_id, quality_weight(text), seed)
     keyed = row.withColumn("_own", F.struct(key.alias("_key"), doc_id.alias("doc_id"), F.xxhash64(text).alias("_tie")))

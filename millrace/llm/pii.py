@@ -312,7 +312,7 @@ def redact_documents(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     model = fit(docs.select(candidates(text).alias("cands")))
-    found = docs.select(F.struct(*docs.columns).alias("_row"), candidates(text).alias("_cands"))
+    found = docs.select(F.struct("*").alias("_row"), candidates(text).alias("_cands"))
     spans = found.select("_row", all_spans(F.col("_cands"), model, threshold).alias("_spans"))
     clean = spans.select("_row", redact(F.col("_row.text"), F.col("_spans")).alias("_text"))
     new = {"text": F.col("_text")}

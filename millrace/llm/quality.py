@@ -224,6 +224,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
     """`docs` whose score reaches `threshold`. Only statistics of labelled documents are kept between passes."""
     ship_package(docs.sparkSession, "millrace")
     model = fit(docs.select("doc_id", text_statistics(F.col("text")).alias("stats")), labels, most)
-    rows = docs.select(F.struct(*docs.columns).alias("_row"))
+    rows = docs.select(F.struct("*").alias("_row"))
     scored = rows.withColumn("_score", scores(model, F.col("_row.text"), of_text=True))
     return scored.filter(F.col("_score") >= threshold).select("_row.*")

@@ -48,7 +48,7 @@ def assign(df: DataFrame, key: str, size: Column, limit: int) -> DataFrame:
     A shard is (`shard`, `page`); page 0 is a bucket of the directory.
     """
     hashed = df.select(
-        F.struct(*df.columns).alias("_row"), hash_bits(F.col(key)).alias("_h"), F.coalesce(size, F.lit(0)).cast("bigint").alias("_b")
+        F.struct("*").alias("_row"), hash_bits(F.col(key)).alias("_h"), F.coalesce(size, F.lit(0)).cast("bigint").alias("_b")
     )
     sized = hashed.select("_h", "_b").filter(F.col("_b") <= limit)
     total = sized.agg(F.sum("_b")).first()[0] or 0
@@ -83,7 +83,7 @@ def assign(df: DataFrame, key: str, size: Column, limit: int) -> DataFrame:
     for part in named[1:]:
         whole = whole.unionByName(part)
     added = ("shard", "depth", "page", "row_bytes", "shard_bytes")
-    return whole.select(*[F.col("_row")[c].alias(c) for c in df.columns if c not in added], *added)
+    return whole.select(*[F.col("_row")[c].alias(c) for c in df.columns if c.lower() not in added], *added)
 
 
 def _levels(cells: DataFrame, base: int, depth: int) -> DataFrame:

@@ -169,7 +169,7 @@ def near_duplicates(docs: DataFrame, few: int = FEW) -> DataFrame:
 def keep_one(docs: DataFrame, few: int = FEW) -> DataFrame:
     """`docs` with one row per component: that of the smallest doc_id, of its rows the least text."""
     ship_package(docs.sparkSession, "millrace")
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), fingerprints(F.col("text")).alias("fp"))
+    rows = docs.select(F.struct("*").alias("_row"), fingerprints(F.col("text")).alias("fp"))
     rows = materialize(rows, "printed")
     found = components(rows.select("_row.doc_id", "fp"), few)
     first = rows.join(found, "fp").filter(F.col("_row.doc_id").eqNullSafe(F.col("component_id")))

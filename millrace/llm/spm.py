@@ -239,9 +239,9 @@ def encode_documents(docs: DataFrame, model: bytes, text: str = "text", threads:
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     kind = "ids array<int>, n_tokens long, ids_crc32 long, parity boolean, round_trip boolean"
-    coded = docs.select(F.struct(*docs.columns).alias("_row"), F.arrow_udf(run, kind)(F.col(text)).alias("_code"))
+    coded = docs.select(F.struct("*").alias("_row"), F.arrow_udf(run, kind)(F.col(text)).alias("_code"))
     added = ("ids", "n_tokens", "ids_crc32", "parity", "round_trip")
-    return coded.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c not in added], *[F.col("_code")[c].alias(c) for c in added])
+    return coded.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c.lower() not in added], *[F.col("_code")[c].alias(c) for c in added])
 
 
 def decode_documents(coded: DataFrame, model: bytes, ids: str = "ids") -> DataFrame:
