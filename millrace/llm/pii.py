@@ -9,7 +9,7 @@ labeler's reliability without labels, and a logistic regression on votes and sha
 posteriors. The classifier adds looser candidates that it is sure of and that touch no strict span.
 
 Spans are code points, end exclusive. Built-in functions only; a text is read once per pass and never
-cut. Defined results: null text is empty; a null id is kept; repeated rows are scored row by row; an
+cut. Defined results: null text has no spans and stays null; a null id is kept; repeated rows are scored row by row; an
 empty table gives no rows; without loose candidates nothing is added.
 """
 
@@ -194,7 +194,7 @@ def fit(found: DataFrame) -> Model:
 
 def _features(v: np.ndarray, s: np.ndarray) -> np.ndarray:
     """A constant, (vote is 1, vote is -1) per labeler, the shape bits."""
-    each = np.stack([v == 1, v == -1], axis=2).reshape(len(v), -1).astype(float)
+    each = np.stack([v == 1, v == -1], axis=2).reshape(len(v), 2 * len(LABELERS)).astype(float)
     return np.hstack([np.ones((len(v), 1)), each, s])
 
 
@@ -317,5 +317,5 @@ def redact_documents(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     clean = spans.select("_row", redact(F.col("_row.text"), F.col("_spans")).alias("_text"))
     new = {"text": F.col("_text")}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.coalesce(F.length("_text"), F.col("_row.n_chars")).cast(docs.schema["n_chars"].dataType)
     return clean.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])

@@ -49,7 +49,7 @@ def distinct(rows: DataFrame, k: int) -> DataFrame:
 def sample(found: DataFrame, most: int = SAMPLE) -> np.ndarray:
     """At most `most` vectors, by hash of their id."""
     rows = found.select("vec", F.xxhash64("vid").alias("_h")).orderBy("_h").limit(most).collect()
-    return np.array([r["vec"] for r in rows], dtype=np.float64)
+    return np.array([r["vec"] for r in rows], dtype=np.float64) if rows else np.zeros((0, 1))
 
 
 def matrix(column: pa.Array) -> np.ndarray:
