@@ -14,11 +14,18 @@ NUMERIC_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def hwm_key(c: Column | str) -> Column:
-    """Sortable key: numbers first and by value, then other text by string order."""
+    """Sortable key: numbers first and by value, then other text by string order.
+
+    Numbers compare as decimals with ten places (64-bit ids keep every digit); doubles order what lies
+    beyond the decimals' range and, among equal decimals, further places.
+    """
     text = (F.col(c) if isinstance(c, str) else c).cast("string")
-    number = F.when(text.rlike(NUMERIC_TEXT), F.trim(text).try_cast("double"))
+    trimmed = F.when(text.rlike(NUMERIC_TEXT), F.trim(text))
+    number, exact = trimmed.try_cast("double"), trimmed.try_cast("decimal(38,10)")
     return F.struct(
         number.isNull().alias("is_text"),
+        F.when(exact.isNull(), F.signum(number)).otherwise(0.0).alias("beyond"),
+        exact.alias("exact"),
         number.alias("number"),
         F.when(number.isNull(), text).alias("text"),
     )

@@ -75,8 +75,8 @@ def asof_join(
 
     With few versions per key this is an equi-join with a range residual. A key with very many
     versions would make that residual quadratic, so beyond `version_limit` (counted on the
-    dimension when `many_versions` is not given) `asof_join_sorted` is used; the result is the same
-    for dimensions whose versions of a key do not overlap.
+    dimension when `many_versions` is not given) `asof_join_sorted` is used. Versions of a key must not
+    overlap; then both give the same. An empty version (from = to) is valid at no time in either form.
     """
     if many_versions is None:
         top = dim.groupBy(key).count().agg(F.max("count")).first()[0] or 0
@@ -115,11 +115,13 @@ def asof_join_sorted(
         F.col(key).alias("_key"), F.col(ts).alias("_ts"), F.lit(1).alias("_side"), row.alias("_row"),
         F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]).alias("_spread"),
     )
-    versions = dim.filter(F.col(key).isNotNull()).select(
+    ends_later = F.col(valid_to).isNull() | (F.col(valid_from) < F.col(valid_to))
+    versions = dim.filter(F.col(key).isNotNull() & ends_later).select(
         F.col(key).alias("_key"), F.col(valid_from).alias("_ts"), F.lit(0).alias("_side"),
-        version.alias("_version"), F.lit(0).cast("bigint").alias("_spread"),
+        version.alias("_version"), F.lit(0).cast("bigint").alias("_spread"), F.col(valid_to).alias("_end"),
     )
-    order = ["_key", "_ts", "_side", "_spread"]
+    # of versions that start together the one that ends last comes last
+    order = ["_key", "_ts", "_side", F.col("_end").asc_nulls_last(), "_spread"]
     both = facts.unionByName(versions, allowMissingColumns=True)
     stored = materialize(
         both.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "asof"
@@ -127,13 +129,13 @@ def asof_join_sorted(
 
     # one row per range: its last version and that version's key; then the last one before each range
     tails = stored.filter("_side = 0").groupBy("_range").agg(
-        F.max_by(F.struct("_key", "_version"), F.struct("_key", "_ts")).alias("_tail")
+        F.max_by(F.struct("_key", "_version"), F.struct("_key", "_ts", F.col("_end").isNull(), "_end")).alias("_tail")
     )
     ranges = stored.select("_range").distinct().join(tails, "_range", "left")
     before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     carried = ranges.select("_range", F.last("_tail", ignorenulls=True).over(before).alias("_carry"))
 
-    inside = W.partitionBy("_range", "_key").orderBy("_ts", "_side", "_spread").rowsBetween(
+    inside = W.partitionBy("_range", "_key").orderBy(*order[1:]).rowsBetween(
         W.unboundedPreceding, W.currentRow
     )
     seen = stored.withColumn("_seen", F.last("_version", ignorenulls=True).over(inside))

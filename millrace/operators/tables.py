@@ -73,7 +73,8 @@ def write_sorted(df: DataFrame, keys: Sequence[str], n_files: int, path: str) ->
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """With doubled quotes, as the CSV readers expect; texts with line breaks need their `multi_line`."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def write_ndjson(df: DataFrame, path: str) -> None:
@@ -99,6 +100,44 @@ def write_buckets(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -
     with_bucket = df.withColumn("_bucket", bucket_of(keys, buckets))
     # rebalance gathers a bucket into few files, yet splits one that is far larger than the rest
     with_bucket.hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(path)
+    _keep_count(df.sparkSession, path, buckets)
+
+
+def _count_file(spark: SparkSession, path: str):
+    return hadoop_path(spark, f"{path.rstrip('/')}/_bucket_count")
+
+
+def bucket_count(spark: SparkSession, path: str) -> int | None:
+    """The number of buckets a table was written with; None where nothing was kept."""
+    fs, p = _count_file(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return int(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _keep_count(spark: SparkSession, path: str, buckets: int) -> None:
+    fs, p = _count_file(spark, path)
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(str(buckets), "utf-8"))
+    finally:
+        stream.close()
+
+
+def rebucket(spark: SparkSession, path: str, keys: Sequence[str], buckets: int) -> None:
+    """Write a bucketed table anew with another number of buckets."""
+    fresh = path.rstrip("/") + "__rebucket"
+    write_buckets(spark.read.parquet(path).drop("_bucket"), fresh, keys, buckets)
+    fs, old = hadoop_path(spark, path)
+    _, new = hadoop_path(spark, fresh)
+    fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise OSError(f"could not move {fresh} to {path}")
+    spark.catalog.refreshByPath(path)
 
 
 def merge_buckets(
@@ -114,8 +153,14 @@ def merge_buckets(
     """Rewrite only the key-hash buckets a delta touches.
 
     `merge(slice, delta)` gives the new content of the touched buckets. It is written beside the
-    table first; if the driver dies during the swap, the same batch finishes from that copy.
+    table first; if the driver dies during the swap, the same batch finishes from that copy. The number
+    of buckets is kept with the table, as another one would put a key in a second place.
     """
+    kept = bucket_count(spark, path)
+    if kept is None:
+        _keep_count(spark, path, buckets)
+    elif kept != buckets:
+        raise ValueError(f"{path} has {kept} buckets, not {buckets}; use rebucket to change that")
     pending = f"{path.rstrip('/')}__pending/{batch}"
     if not path_exists(spark, pending + "/_SUCCESS"):
         delta = delta.withColumn("_bucket", bucket_of(keys, buckets))

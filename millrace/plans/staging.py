@@ -74,10 +74,10 @@ def encounters_flat(raw: DataFrame, *carried: str) -> DataFrame:
 
 
 def stage_encounters(raw: DataFrame) -> DataFrame:
-    """Flattened encounters, the latest load of each. Flattening first keeps the shuffle narrow."""
+    """Flattened encounters, the latest load of each; documents without an id are all kept. Flattening first keeps the shuffle narrow."""
     ties = [c for c in FILE_ORDER if c in raw.columns]
     flat = encounters_flat(raw, "_load_ts", *ties)
-    return latest_per_key(flat, ["encounter_id"], "_load_ts", ties).drop("_load_ts", *ties)
+    return latest_per_key(flat, ["encounter_id"], "_load_ts", ties, null_is_key=False).drop("_load_ts", *ties)
 
 
 def stg_encounters(raw: DataFrame) -> DataFrame:
@@ -114,7 +114,7 @@ def stage_observations(raw: DataFrame) -> DataFrame:
         F.try_variant_get("v", "$.observations", "array<variant>").alias("_os"),
         "_load_ts", *ties,
     )
-    latest = latest_per_key(docs, ["encounter_id"], "_load_ts", ties)
+    latest = latest_per_key(docs, ["encounter_id"], "_load_ts", ties, null_is_key=False)
     return latest.select("encounter_id", F.explode("_os").alias("_o")).select(
         "encounter_id",
         vget("_o", "code").alias("obs_code"),

@@ -80,9 +80,12 @@ class LoadState:
             stream.write(bytearray(json.dumps(record, sort_keys=True), "utf-8"))
         finally:
             stream.close()
-        if not fs.rename(fresh, final):
-            fs.delete(final, False)
-            fs.rename(fresh, final)
+        # replaces the record in one step; deleting it first could lose the mark
+        jvm, gateway = self.spark.sparkContext._jvm, self.spark.sparkContext._gateway
+        over = gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+        over[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        context.rename(fs.makeQualified(fresh), fs.makeQualified(final), over)
 
     def record(self, source: str, table: str) -> dict:
         return self._read(self._file(source, table)) or {}

@@ -28,9 +28,15 @@ def read_parquet_incremental(spark: SparkSession, path: str, hwm: str, since: An
     return hwm_filter(spark.read.parquet(path), hwm, since)
 
 
-def read_csv_incremental(spark: SparkSession, path: str, hwm: str, since: Any = None) -> DataFrame:
-    """All-text CSV rows after `since` in numeric-aware order. An empty file gives no rows."""
-    df = spark.read.option("header", True).csv(path)
+def _csv(spark: SparkSession, multi_line: bool):
+    """One way to read CSV: header, doubled quotes; `multi_line` keeps line breaks in quotes (a file is then one task)."""
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+
+
+def read_csv_incremental(spark: SparkSession, path: str, hwm: str, since: Any = None, multi_line: bool = False) -> DataFrame:
+    """All-text CSV rows after `since` in numeric-aware order. An empty file gives no rows. All files
+    below `path` share one header; `read_csv_by_name` takes differing ones."""
+    df = _csv(spark, multi_line).csv(path)
     if not df.columns:
         return df
     return hwm_filter(df, hwm, since, text_order=True)
@@ -71,32 +77,33 @@ def _header(spark: SparkSession, path: str) -> str:
 
 
 def read_csv_by_name(spark: SparkSession, paths: Sequence[str], columns: Sequence[str],
-                     one_header: bool = False) -> DataFrame:
+                     one_header: bool = False, multi_line: bool = False) -> DataFrame:
     """CSV files as text columns matched by header name, any order, any case.
 
     Spark maps a multi-file CSV read by position, so files are grouped by their header line (one
     line read per file, in parallel) and each group is one native CSV read. Columns a file lacks are
     NULL, unknown ones are dropped, short and long rows are tolerated; '' and NULL become NULL.
     Adds `_source_file`. `one_header` says that all files share the first one's header, which saves
-    opening each of them.
+    opening each of them. `multi_line` allows line breaks inside quotes.
     """
     if one_header and paths:
         line = _header(spark, paths[0])
-        return _csv_groups(spark, {line: list(paths)} if line else {}, columns)
+        return _csv_groups(spark, {line: list(paths)} if line else {}, columns, multi_line)
     with ThreadPoolExecutor(32) as pool:
         headers = list(pool.map(lambda f: _header(spark, f), paths))
     groups: dict[str, list[str]] = {}
     for path, line in zip(paths, headers):
         if line:
             groups.setdefault(line, []).append(path)
-    return _csv_groups(spark, groups, columns)
+    return _csv_groups(spark, groups, columns, multi_line)
 
 
-def _csv_groups(spark: SparkSession, groups: dict[str, list[str]], columns: Sequence[str]) -> DataFrame:
+def _csv_groups(spark: SparkSession, groups: dict[str, list[str]], columns: Sequence[str],
+                multi_line: bool = False) -> DataFrame:
     wanted = {c.lower(): c for c in columns}
     out: DataFrame | None = None
     for line, files in sorted(groups.items()):
-        df = spark.read.option("header", True).option("escape", '"').csv(files)
+        df = _csv(spark, multi_line).csv(files)
         # two headers of one file that differ in case only would be ambiguous
         at: dict[str, int] = {}
         for i, c in enumerate(df.columns):

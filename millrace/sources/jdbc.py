@@ -6,7 +6,9 @@ predicates; the high-water-mark filter is a pushed-down predicate, so no ORDER B
 
 from __future__ import annotations
 
+import os
 from collections.abc import Mapping, Sequence
+from datetime import date, datetime
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,17 +36,37 @@ DRIVERS = {
 
 
 def jdbc_url(kind: str, source: Mapping[str, Any]) -> str:
-    if source.get("url"):
-        return source["url"]
+    for given in ("url", "conn_str", "dsn"):
+        if source.get(given):
+            return _as_url(kind, str(source[given]))
     if kind not in URLS:
         raise ValueError(f"unknown database type {kind!r}")
     parts = {"host": "localhost", "port": PORTS.get(kind), **source}
+    parts.setdefault("database", source.get("dbname"))
     needed = "path" if kind == "sqlite" else "database"
     if not parts.get(needed):
         raise ValueError(f"source.{needed} is required for {kind}")
     return URLS[kind].format(**parts)
 
 
+def _as_url(kind: str, text: str) -> str:
+    """A JDBC URL from one, from a URL of another client, or from the part behind `jdbc:<kind>:`."""
+    if text.startswith("jdbc:"):
+        return text
+    stem = URLS[kind].split("{")[0] if kind in URLS else "jdbc:"
+    return stem + (text.split("://", 1)[1] if "://" in text else text)
+
+
+def _password(source: Mapping[str, Any]) -> str | None:
+    """The password itself, or that of the environment variable `password_env` names."""
+    if source.get("password") or not source.get("password_env"):
+        return source.get("password")
+    name = str(source["password_env"])
+    if name not in os.environ:
+        raise ValueError(f"environment variable {name!r} of source.password_env is not set")
+    return os.environ[name]
+
+
 def jdbc_options(kind: str, source: Mapping[str, Any]) -> dict[str, str]:
     """Connection options; a set fetch size keeps the cursor streaming on the server side."""
     options = {
@@ -58,23 +80,39 @@ def jdbc_options(kind: str, source: Mapping[str, Any]) -> dict[str, str]:
     if kind == "mysql":
         # the driver streams only with cursor fetch on; without it a table is buffered whole
         options["useCursorFetch"] = "true"
-    for name in ("user", "password"):
-        if source.get(name):
-            options[name] = str(source[name])
+    if kind == "sqlite" and source.get("path") and not os.path.isfile(source["path"]):
+        # the driver would create an empty database
+        raise FileNotFoundError(source["path"])
+    for name, value in (("user", source.get("user")), ("password", _password(source))):
+        if value:
+            options[name] = str(value)
     options.update({k: str(v) for k, v in source.get("options", {}).items()})
     return options
 
 
 def text_ranges(column: str, cuts: Sequence[str]) -> list[str]:
-    """Predicates that split a text key at the given values: complete and non-overlapping."""
+    """Predicates that split a text key at the given values.
+
+    A row's part is the number of the first cut it lies below, so the parts are complete and do not
+    overlap under any collation, also one that sorts otherwise than Python.
+    """
     check_identifier("column", column)
     cuts = sorted(set(cuts))
     quoted = ["'" + c.replace("'", "''") + "'" for c in cuts]
     if not quoted:
         return ["1 = 1"]
-    first = f"({column} < {quoted[0]} OR {column} IS NULL)"
-    middle = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(quoted, quoted[1:])]
-    return [first, *middle, f"{column} >= {quoted[-1]}"]
+    cases = " ".join(f"WHEN {column} < {cut} THEN {i}" for i, cut in enumerate(quoted))
+    part = f"CASE WHEN {column} IS NULL THEN 0 {cases} ELSE {len(quoted)} END"
+    return [f"({part}) = {i}" for i in range(len(quoted) + 1)]
+
+
+def oracle_since(table: str, hwm: str, since: datetime | date) -> str:
+    """A subquery with a time mark's predicate: the dialect writes a zone-less time without quotes."""
+    check_identifier("table", table)
+    check_identifier("hwm_column", hwm)
+    text = since.isoformat(sep=" ") if isinstance(since, datetime) else f"{since.isoformat()} 00:00:00"
+    form = "YYYY-MM-DD HH24:MI:SS" + (".FF6" if "." in text else "")
+    return f"(SELECT * FROM {table} WHERE {hwm} > TO_TIMESTAMP('{text}', '{form}')) pending"
 
 
 def read_jdbc(
@@ -92,6 +130,9 @@ def read_jdbc(
     check_identifier("table", table)
     check_identifier("hwm_column", hwm)
 
+    if options.get("url", "").startswith("jdbc:oracle:") and isinstance(since, date):
+        table, since = oracle_since(table, hwm, since), None
+
     def reader():
         return spark.read.format("jdbc").options(**options)
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 import zipfile
 from collections.abc import Iterator
+from datetime import datetime, timedelta
 from io import BytesIO
 from xml.etree import ElementTree as ET
 from xml.sax.saxutils import escape
@@ -39,6 +40,25 @@ def _shared_strings(book: zipfile.ZipFile) -> list[str]:
     return out
 
 
+def _date_styles(book: zipfile.ZipFile) -> set[int]:
+    """Indices of the cell styles that show a number as a date or time."""
+    if "xl/styles.xml" not in book.namelist():
+        return set()
+    root = ET.fromstring(book.read("xl/styles.xml"))
+    own = {
+        int(f.get("numFmtId")): re.sub(r'"[^"]*"|\\.|\[[^\]]*\]', "", f.get("formatCode", ""))
+        for f in root.findall(f"{_MAIN}numFmts/{_MAIN}numFmt")
+    }
+    # fixed values: the built-in date and time formats
+    dated = {*range(14, 23), *range(45, 48), *(n for n, code in own.items() if re.search("[ymdhs]", code, re.I))}
+    return {i for i, x in enumerate(root.findall(f"{_MAIN}cellXfs/{_MAIN}xf")) if int(x.get("numFmtId", "0")) in dated}
+
+
+def _as_date(serial: str) -> str:
+    """A day count as the text of its date and time."""
+    return str((datetime(1899, 12, 30) + timedelta(seconds=round(float(serial) * 86400))))
+
+
 def _sheet_member(book: zipfile.ZipFile, sheet: str) -> str:
     root = ET.fromstring(book.read("xl/workbook.xml"))
     sheets = root.findall(f"{_MAIN}sheets/{_MAIN}sheet")
@@ -54,7 +74,7 @@ def _sheet_member(book: zipfile.ZipFile, sheet: str) -> str:
 def sheet_rows(data: bytes, sheet: str) -> Iterator[list[str | None]]:
     """Rows of one sheet as lists of text, header first."""
     with zipfile.ZipFile(BytesIO(data)) as book:
-        strings = _shared_strings(book)
+        strings, dated = _shared_strings(book), _date_styles(book)
         with book.open(_sheet_member(book, sheet)) as fh:
             for _, el in ET.iterparse(fh):
                 if el.tag != _MAIN + "row":
@@ -67,7 +87,14 @@ def sheet_rows(data: bytes, sheet: str) -> Iterator[list[str | None]]:
                     if kind == "inlineStr":
                         row[at] = "".join(t.text or "" for t in cell.iter(_MAIN + "t"))
                     elif value is not None and value.text is not None:
-                        row[at] = strings[int(value.text)] if kind == "s" else value.text
+                        if kind == "s":
+                            row[at] = strings[int(value.text)]
+                        elif kind == "b":
+                            row[at] = str(value.text == "1")
+                        elif kind in (None, "n") and int(cell.get("s", "0")) in dated:
+                            row[at] = _as_date(value.text)
+                        else:
+                            row[at] = value.text
                 yield row
                 el.clear()
 
@@ -80,10 +107,12 @@ def read_workbook(spark: SparkSession, path: str, sheet: str, columns=None, glob
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
     if columns is None:
-        first = files.orderBy("path").limit(1).select("content").first()
+        # listing alone finds the first path; only that file is then opened
+        first = files.select("path").orderBy("path").first()
         if first is None:
             raise FileNotFoundError(f"no workbook under {path}")
-        columns = next((["" if h is None else str(h) for h in r] for r in sheet_rows(bytes(first[0]), sheet)), [])
+        content = spark.read.format("binaryFile").load(first["path"]).select("content").first()[0]
+        columns = next((["" if h is None else str(h) for h in r] for r in sheet_rows(bytes(content), sheet)), [])
         if not columns:
             return spark.createDataFrame([], "struct<>")
     names = list(columns)

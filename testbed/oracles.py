@@ -243,11 +243,11 @@ def _synth_patients() -> str:
     d = lambda k, n: draw_sql("c_custkey", k, 42, n)
     v = lambda k, n, plus: f"CAST({d(k, n)} + {plus} AS VARCHAR)"
     return f"""SELECT 'PAT-' || lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS patient_id,
-      {_pick(synth.FIRST_NAMES, d(1, 15))} AS first_name, {_pick(synth.LAST_NAMES, d(2, 14))} AS last_name,
+      {_pick(synth.FIRST_NAMES, d(1, len(synth.FIRST_NAMES)))} AS first_name, {_pick(synth.LAST_NAMES, d(2, len(synth.LAST_NAMES)))} AS last_name,
       CAST(DATE '1940-01-01' + CAST({d(3, 27759)} AS INTEGER) AS DATE) AS birth_date, {_pick(["M", "F"], d(4, 2))} AS gender,
       {v(5, 800, 100)} || '-' || {v(6, 90, 10)} || '-' || {v(7, 9000, 1000)} AS ssn,
-      {v(8, 9999, 1)} || ' ' || {_pick(synth.LAST_NAMES, d(9, 14))} || ' St' AS address,
-      {_pick(synth.CITIES, d(10, 5))} AS city, {_pick(synth.STATES, d(11, 8))} AS state,
+      {v(8, 9999, 1)} || ' ' || {_pick(synth.LAST_NAMES, d(9, len(synth.LAST_NAMES)))} || ' St' AS address,
+      {_pick(synth.CITIES, d(10, len(synth.CITIES)))} AS city, {_pick(synth.STATES, d(11, 8))} AS state,
       lpad({v(12, 14000, 6000)}, 5, '0') AS zip,
       '(' || {v(13, 790, 200)} || ') ' || {v(14, 790, 200)} || '-' || {v(15, 9000, 1000)} AS phone
     FROM customer"""
@@ -263,7 +263,7 @@ def _synth_encounters() -> str:
     v AS (SELECT *, c_custkey * 6 + n AS i FROM p)
     SELECT 'ENC-' || lpad(CAST(i AS VARCHAR), 13, '0') AS encounter_id, 'PAT-' || lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS patient_id,
       strftime({start}, '%Y-%m-%dT%H:%M:%S') AS start, {_pick(synth.CLASSES, d(24, 5))} AS encounter_class,
-      {_pick(synth.PROVIDERS, d(31, 5))} AS provider_name, {_pick([f[0] for f in synth.FACILITIES], d(27, 3))} AS facility_id,
+      {_pick(synth.PROVIDERS, d(31, len(synth.PROVIDERS)))} AS provider_name, {_pick([f[0] for f in synth.FACILITIES], d(27, 3))} AS facility_id,
       {_pick([p for p, _ in synth.PAYERS], d(25, 6))} AS payer,
       CASE WHEN {status} < 80 THEN 'paid' WHEN {status} < 95 THEN 'pending' ELSE 'denied' END AS claim_status,
       {cents} AS charge_cents,
@@ -383,10 +383,10 @@ def sql() -> dict[str, str]:
     o["backfill"] = f"""WITH {PAT}, {latest_pat('s')}, {ENC}, {latest_enc('e')}, {DIMS},
         d3 AS (SELECT row_number() OVER (ORDER BY patient_id) AS patient_sk, patient_id, TIMESTAMP '1900-01-01' AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to FROM s),
         {FACT} SELECT * FROM fact"""
-    o["region_class_rollup"] = MARTS + f"SELECT region, encounter_class, {SUMS} FROM fact JOIN fac USING (facility_sk) JOIN loc USING (location_sk) GROUP BY 1, 2"
-    o["provider_rollup"] = MARTS + f"SELECT provider_name, {SUMS} FROM fact JOIN prov USING (provider_sk) GROUP BY 1"
+    o["region_class_rollup"] = MARTS + f"SELECT region, encounter_class, {SUMS} FROM fact LEFT JOIN fac USING (facility_sk) LEFT JOIN loc USING (location_sk) GROUP BY 1, 2"
+    o["provider_rollup"] = MARTS + f"SELECT provider_name, {SUMS} FROM fact LEFT JOIN prov USING (provider_sk) GROUP BY 1"
     o["payer_rollup"] = MARTS + f"SELECT payer_name, claim_status, {SUMS} FROM fact LEFT JOIN pay USING (payer_sk) GROUP BY 1, 2"
-    o["monthly_trend"] = f"{MARTS.rstrip()}, {CALENDAR} SELECT year, month, month_name, {SUMS} FROM fact JOIN dim_date USING (date_key) GROUP BY 1, 2, 3"
+    o["monthly_trend"] = f"{MARTS.rstrip()}, {CALENDAR} SELECT year, month, month_name, {SUMS} FROM fact LEFT JOIN dim_date USING (date_key) GROUP BY 1, 2, 3"
     o["patient_history"] = f"WITH {PAT}, {scd2(False)} SELECT patient_sk, patient_id, city, state, valid_from, valid_to, is_current FROM d3"
 
     o["load_health"] = f"""WITH log AS ({LOG}) SELECT target, count(*) AS loads, CAST(sum(rows_written) AS BIGINT) AS total_rows_written, max(loaded_at) AS last_loaded_at,
