@@ -422,6 +422,10 @@ def sql() -> dict[str, str]:
         k AS (SELECT n, {draw_sql('n', 1, 42, '(SELECT count(*) FROM dim_date)')} + 1 AS rk FROM range(3) t(n))
         SELECT encounter_id || '-' || n AS encounter_id, date_key, duration_minutes FROM e CROSS JOIN k JOIN r ON rn = rk"""
     spans = "WITH s AS (SELECT l_suppkey, min(k) AS low, max(k) AS high FROM (SELECT l_suppkey, CAST(strftime(l_shipdate, '%Y%m%d') AS BIGINT) AS k FROM lineitem) GROUP BY 1) "
+    o["layout_facts"] = """SELECT 'rows in sorted files' AS fact, count(*) AS value FROM lineitem UNION ALL SELECT 'sorted files share at most an end', 1
+        UNION ALL SELECT 'random layout scans all files', 1 UNION ALL SELECT 'sorted layout scans a quarter at most', 1"""
+    o["csv_incremental"] = "SELECT CAST(doc_id AS VARCHAR) AS doc_id, sha256(text) AS text_sha256 FROM documents WHERE doc_id > 50"
+    o["csv_quoted"] = "SELECT CAST(doc_id AS VARCHAR) AS doc_id, sha256(text) AS text_sha256, CAST(NULL AS VARCHAR) AS none FROM documents"
     o["layout_pruning"] = spans + "SELECT count(*) FILTER (high >= 19950101 AND low <= 19950131) AS scanned, count(*) AS total FROM s"
     o["clustering_depth"] = spans + """SELECT count(*) / (SELECT count(*) FROM s) AS avg_depth, (SELECT count(*) FROM s) AS n_files
         FROM s a JOIN s b ON b.low <= a.high AND a.low <= b.high"""

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.governance import READER_ROLE, mask_tagged, policy_view, tag
@@ -940,6 +941,40 @@ def layout_report(spark, sf):
     return layout.layout_report(_keyed_items(spark, sf), "date_key", 16, 19970101, 19970131)
 
 
+@query
+def layout_facts(spark, sf):
+    """What holds of the two layouts however ranges are sampled."""
+    root = scratch_path(spark, "layout_facts")
+    items = _keyed_items(spark, sf)
+    report = materialize(layout.layout_report(items, "date_key", 16, 19970101, 19970131, root), "layout_report")
+    ranges = layout.file_ranges(spark, f"{root}/sorted", "date_key")
+    before = F.lag("high").over(W.orderBy("low", "high"))
+    kept = ranges.agg(F.sum("n_rows").alias("value")).select(F.lit("rows in sorted files").alias("fact"), "value")
+    apart = ranges.select((F.coalesce(before, F.col("low")) <= F.col("low")).alias("ok")).agg(F.bool_and("ok").cast("bigint").alias("value"))
+    random = report.filter("layout = 'random'").select((F.col("scanned") == F.col("total")).cast("bigint").alias("value"))
+    pruned = report.filter("layout = 'sorted'").select((F.col("scanned") * 4 <= F.col("total")).cast("bigint").alias("value"))
+    return kept.unionByName(apart.select(F.lit("sorted files share at most an end").alias("fact"), "value")).unionByName(
+        random.select(F.lit("random layout scans all files").alias("fact"), "value")
+    ).unionByName(pruned.select(F.lit("sorted layout scans a quarter at most").alias("fact"), "value"))
+
+
+@query
+def csv_incremental(spark, sf):
+    """Texts with quotes and line breaks through CSV and back, read after a mark."""
+    path = scratch_path(spark, "csv")
+    tables.write_csv(table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text"), path)
+    return files.read_csv_incremental(spark, path, "doc_id", "50", multi_line=True).select("doc_id", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query
+def csv_quoted(spark, sf):
+    """The same file by column name."""
+    path = scratch_path(spark, "csv")
+    tables.write_csv(table(spark, sf, "documents").select("text", "lang", F.col("doc_id").cast("string").alias("doc_id")), path)
+    found = files.read_csv_by_name(spark, files.list_files(spark, path, r".*\.csv"), ["DOC_ID", "text", "none"], multi_line=True)
+    return found.select(F.col("DOC_ID").alias("doc_id"), F.sha2("text", 256).alias("text_sha256"), "none")
+
+
 def _supplier_ranges(spark, sf):
     """Each supplier's ship dates as if they were one file, so that SQL can give the same ranges."""
     return _keyed_items(spark, sf).groupBy("l_suppkey").agg(

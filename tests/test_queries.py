@@ -1,4 +1,4 @@
-"""Registered queries against their SQL on the smallest tables (all of them with MILLRACE_ALL=1)."""
+"""Registered queries against their SQL on the smallest tables."""
 
 import os
 
@@ -6,14 +6,11 @@ import pytest
 
 import __spark_entry__ as entry
 from testbed.compare import check, duck
+from testbed.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-SLOW = {
-    "stream_dag", "stream_dag_observations", "fact_native", "asof_sorted", "backfill", "provider_rollup", "payer_rollup", "monthly_trend",
-    "model_tests", "dq_report", "scd2_snapshot", "patient_history", "stream_projection", "stream_latest", "fact_current", "dim_facility",
-    "dim_payer", "dim_provider", "observations_flat", "encounters_flat", "stg_encounters", "dim_provider_hashed", "dim_facility_hashed",
-}
-NAMES = [n for n in entry.queries() if os.environ.get("MILLRACE_ALL") or n not in SLOW]
+# the training-data operators have their own tests in tests/llm
+NAMES = list(QUERIES)
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 
