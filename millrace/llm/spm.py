@@ -203,16 +203,18 @@ class Backend:
         return self.tokenizer.decode_batch([i.tolist() for i in ids], skip_special_tokens=True)
 
 
-def _backend(data: bytes, threads: bool) -> Backend:
+def _backend(data: bytes, threads: int) -> Backend:
     key = hash(data)
     if key not in _workers:
-        os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads else "false"
+        # the library reads both when it first runs; a worker has the cores of one task, not the machine's
+        os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
+        os.environ["RAYON_NUM_THREADS"] = str(threads)
         _workers.clear()
         _workers[key] = Backend(data)
     return _workers[key]
 
 
-def encode_documents(docs: DataFrame, model: bytes, text: str = "text", threads: bool = True) -> DataFrame:
+def encode_documents(docs: DataFrame, model: bytes, text: str = "text", threads: int = 2) -> DataFrame:
     """`docs` with `ids` (array<int>), `n_tokens`, `ids_crc32`, `parity`, and `round_trip`: whether the
     ids read back as the text. `model` is the file's content (under a MB), carried in the task."""
     spark = docs.sparkSession
@@ -251,7 +253,7 @@ def decode_documents(coded: DataFrame, model: bytes, ids: str = "ids") -> DataFr
     held = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        backend = _backend(held.value, True)
+        backend = _backend(held.value, 2)
         for batch in batches:
             known = batch.to_pylist()
             texts = iter(backend.tokenizer.decode_batch([i for i in known if i is not None], skip_special_tokens=True))

@@ -15,7 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 MOST_WORDS = 600_000
-SLICE = 8 << 20
+SLICE = 4 << 20
+AT_ONCE = 8192
 
 
 class WordTable:
@@ -53,8 +54,9 @@ class WordTable:
         if len(self.place) + len(words) > self.most:
             self._clear()
         new = [w for w in words if w not in self.place]
-        if new:
-            self._add(new)
+        # the library's encodings of a word take far more room than its ids
+        for at in range(0, len(new), AT_ONCE):
+            self._add(new[at:at + AT_ONCE])
         code = np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))[numbered.indices.to_numpy(zero_copy_only=False)]
         starts = np.where(code > 0, self.ends[code - 1], 0)
         lengths = self.ends[code] - starts
