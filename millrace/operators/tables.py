@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import hadoop_path, path_exists
+from ..session import hadoop_path, materialize, path_exists
 
 
 def upper_columns(df: DataFrame) -> DataFrame:
@@ -51,8 +51,8 @@ def spread_hot_keys(df: DataFrame, key: str, n_parts: int, name: str = "_spread"
     Those keys (at most `n_parts` of them) get a row hash, so they fill several parts while all
     other keys stay whole. The counting pass reads the key column only.
     """
-    counts = df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.count()
+    counts = materialize(df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n")), "key_counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
     hot = [r["_k"] for r in counts.filter(F.col("_n") * n_parts > total).collect()]
     held = [k for k in hot if k is not None]
     is_hot = F.col(key).isin(held) if held else F.lit(False)

@@ -15,7 +15,7 @@ from ..operators.merge import new_rows
 from ..operators.positions import assign_ids
 from ..operators.scd2 import scd2_changes
 from ..operators.tables import overwrite
-from ..session import in_parallel
+from ..session import configure, in_parallel
 from . import staging
 
 # States of each region; the calendar's bounds.
@@ -196,6 +196,7 @@ def backfill(
         overwrite(df, path)
         return spark.read.parquet(path)
 
+    configure(spark)
     t: dict[str, DataFrame] = {}
     t["patients"], t["encounters"], t["observations"], t["dim_date"] = in_parallel(
         spark,

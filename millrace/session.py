@@ -6,8 +6,9 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,8 +52,32 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder, grouped by application for later cleaning."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/millrace/{app}/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+_SCOPE = "millrace.scratch.scope"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    context = spark.sparkContext
+    scope = context.getLocalProperty(_SCOPE)
+    return f"{shared_dir(spark)}/millrace/{context.applicationId}" + (f"/{scope}" if scope else "")
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what was materialized inside, also by `in_parallel` threads. For steps whose
+    results are written out before they end, such as a micro-batch or a load."""
+    context = spark.sparkContext
+    before = context.getLocalProperty(_SCOPE)
+    context.setLocalProperty(_SCOPE, f"{before}/{uuid.uuid4().hex[:12]}" if before else f"step-{uuid.uuid4().hex[:12]}")
+    root = _scratch_root(spark)
+    try:
+        yield
+    finally:
+        context.setLocalProperty(_SCOPE, before)
+        fs, p = hadoop_path(spark, root)
+        fs.delete(p, True)
 
 
 def clean_scratch(spark: SparkSession) -> None:

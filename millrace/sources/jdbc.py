@@ -13,6 +13,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.ordering import hwm_filter
 from .identifiers import check_identifier
@@ -122,11 +123,12 @@ def read_jdbc(
     hwm: str,
     since: Any = None,
     partition_column: str | None = None,
-    num_partitions: int = 1,
+    num_partitions: int = 8,
     cuts: Sequence[str] = (),
 ) -> DataFrame:
-    """Incremental scan. Numeric or time key: bounds come from one min/max query of the pending
-    rows; text key: pass the `cuts` to split at. Without either the table is read by one task."""
+    """Incremental scan, split by `partition_column`, else by the mark where that is a number or a time:
+    bounds come from one min/max query of the pending rows. Text key: pass the `cuts` to split at; a text
+    mark without them is read by one task."""
     check_identifier("table", table)
     check_identifier("hwm_column", hwm)
 
@@ -141,6 +143,8 @@ def read_jdbc(
         df = spark.read.jdbc(options["url"], table, predicates=text_ranges(partition_column or hwm, cuts), properties=props)
         return hwm_filter(df, hwm, since)
     whole = reader().option("dbtable", table).load()
+    if not partition_column and isinstance(whole.schema[hwm].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        partition_column = hwm
     if not partition_column or num_partitions <= 1:
         return hwm_filter(whole, hwm, since)
     check_identifier("partition column", partition_column)

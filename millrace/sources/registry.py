@@ -19,7 +19,7 @@ def _database(kind: str) -> Callable[..., DataFrame]:
     def read(spark, source, table, hwm, since):
         return jdbc.read_jdbc(
             spark, jdbc.jdbc_options(kind, source), table, hwm, since,
-            source.get("partition_column"), int(source.get("num_partitions", 1)), source.get("cuts", ()),
+            source.get("partition_column"), int(source.get("num_partitions", 8)), source.get("cuts", ()),
         )
 
     return read

@@ -147,3 +147,15 @@ def test_workbook_dates_and_booleans(tmp_path):
         new.writestr("xl/styles.xml", styles)
     rows = list(workbook.sheet_rows(made.read_bytes(), "s"))
     assert rows[1] == ["2024-01-01 12:00:00", "True", "45292", "2024-01-01 00:00:00"]
+
+
+def test_a_step_leaves_no_scratch_behind(spark):
+    from millrace.session import in_parallel, materialize, scratch_path, scratch_scope
+
+    outside = materialize(spark.range(3), "kept")
+    with scratch_scope(spark):
+        inner = in_parallel(spark, lambda: materialize(spark.range(2), "gone"), lambda: scratch_path(spark, "gone"))
+        assert inner[0].count() == 2
+        left = inner[0].inputFiles()[0].replace("file://", "")
+        assert os.path.exists(left) and "/step-" in inner[1]
+    assert not os.path.exists(left) and outside.count() == 3 and "/step-" not in scratch_path(spark, "x")
