@@ -33,6 +33,7 @@ NEAR = 1.15
 RATIO = 1.3
 DEGREE = 16
 BEAM = 64
+STEPS = (4, 16)
 
 
 def centroids(sample: np.ndarray, lists: int) -> np.ndarray:
@@ -61,12 +62,19 @@ class Graph:
         n = len(centres)
         self.apart = _squared(centres, centres)
         degree = min(degree, n)
-        self.links = np.argsort(self.apart, axis=1, kind="stable")[:, :degree]
+        near = np.argsort(self.apart, axis=1, kind="stable")[:, :degree]
         # far links keep the graph in one piece: every node also knows one of a ring through all
         ring = np.random.default_rng(5).permutation(n)
         follow = np.empty(n, dtype=np.int64)
         follow[ring] = np.roll(ring, -1)
-        self.links = np.hstack([self.links, follow[:, None]])
+        near = np.hstack([near, follow[:, None]])
+        # both ways: a lone centroid is among nobody's nearest, but its own nearest lead back to it
+        known = [set(row) for row in near.tolist()]
+        for a, row in enumerate(near.tolist()):
+            for b in row:
+                known[b].add(a)
+        width = max(map(len, known))
+        self.links = np.array([[*sorted(k), *[a] * (width - len(k))] for a, k in enumerate(known)])
         self.entry = np.unique(np.linspace(0, n - 1, min(n, 8)).astype(np.int64))
 
     def search(self, x: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
@@ -116,7 +124,7 @@ def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def postings(graph: Graph, x: np.ndarray, copies: int = COPIES, near: float = NEAR) -> list[np.ndarray]:
     """Lists of each row: the nearest, and others within `near` of its distance that no chosen centroid shields."""
-    ids, dist = graph.search(x, max(16, 4 * copies))
+    ids, dist = graph.search(x)
     limit = np.maximum(dist[:, :1], 0) * near * near
     out = []
     for row, d, most in zip(ids, dist, limit[:, 0], strict=True):
@@ -131,7 +139,7 @@ def postings(graph: Graph, x: np.ndarray, copies: int = COPIES, near: float = NE
 
 
 def _spread(frame: DataFrame, name: str, lists_of, centres: np.ndarray) -> DataFrame:
-    """(`list`, `name`, `vec`) for every list that `lists_of(graph, vectors)` names."""
+    """(`list`, `name`, `place`, `vec`) for every list that `lists_of(graph, vectors)` names, in its order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph = Graph(centres)
@@ -140,11 +148,12 @@ def _spread(frame: DataFrame, name: str, lists_of, centres: np.ndarray) -> DataF
                 part = batch.slice(at, 512)
                 found = lists_of(graph, vectors.matrix(part.column(1)))
                 row = np.repeat(np.arange(part.num_rows), [len(f) for f in found])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(found).astype(np.int64)), part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row))], ["list", name, "vec"]
-                )
+                place = np.concatenate([np.arange(len(f)) for f in found])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate(found).astype(np.int64)), part.column(0).take(pa.array(row)), pa.array(place), part.column(1).take(pa.array(row)),
+                ], ["list", name, "place", "vec"])
 
-    return frame.select(name, "vec").mapInArrow(run, f"list long, {name} long, vec array<double>")
+    return frame.select(name, "vec").mapInArrow(run, f"list long, {name} long, place long, vec array<double>")
 
 
 def nearest(
@@ -171,12 +180,19 @@ def nearest(
 
     def read(graph: Graph, x: np.ndarray) -> list[np.ndarray]:
         ids, dist = graph.search(np.hstack([x, np.zeros((len(x), 1))]), beam)
-        kept = (ids >= 0) & (dist <= dist[:, :1] * ratio * ratio)
+        # a query on top of a centroid would read that list alone, however few vectors it holds
+        kept = (ids >= 0) & ((dist <= dist[:, :1] * ratio * ratio) | (np.arange(ids.shape[1]) < STEPS[0]))
         return [row[ok] for row, ok in zip(ids, kept, strict=True)]
 
     posted = materialize(_spread(found, "vid", post, centres), "postings")
-    blocks = vectors.pack(posted, ["list", "vid"])
-    lookups = _spread(queries, "qid", read, centres).select("list", "qid")
-    wanted = materialize(lookups.join(blocks.select("list", "block"), "list").select("block", "qid"), "wanted")
-    top = materialize(vectors.best(vectors.scan(blocks, wanted, queries, k + 1), k + 1), "top")
+    blocks = vectors.in_units(vectors.pack(posted, ["list", "vid"]), "list")
+    lookups = _spread(queries, "qid", read, centres).select("list", "qid", "place")
+    wanted = materialize(lookups.join(blocks.select("list", "unit").distinct(), "list"), "wanted")
+    top = reached = None
+    for low, high in zip((0, *STEPS), (*STEPS, beam), strict=True):
+        # what the nearest lists hold sets the score that vectors of further ones must reach
+        now = wanted.filter((F.col("place") >= low) & (F.col("place") < high)).select("unit", "qid")
+        scanned = vectors.scan(blocks, now, queries, k + 1, reached)
+        top = materialize(vectors.best(scanned if top is None else scanned.unionByName(top), k + 1), "top")
+        reached = materialize(vectors.kth(top, k), "reached")
     return vectors.answer(ask, found, top, k, F.col("score"))

@@ -59,7 +59,7 @@ def index(found: DataFrame, centres: np.ndarray, norm: float) -> DataFrame:
                 )
 
     keyed = found.select("vid", "vec").mapInArrow(run, "vid long, vec array<double>, pivot long, distance double")
-    return vectors.pack(materialize(keyed, "keyed"), ["pivot", "distance", "vid"], "distance")
+    return vectors.in_units(vectors.pack(materialize(keyed, "keyed"), ["pivot", "distance", "vid"], "distance"), "pivot")
 
 
 def _to_pivots(queries: DataFrame, centres: np.ndarray) -> DataFrame:
@@ -80,12 +80,12 @@ def _to_pivots(queries: DataFrame, centres: np.ndarray) -> DataFrame:
 
 
 def bounds(blocks: DataFrame, queries: DataFrame, centres: np.ndarray, norm: float) -> DataFrame:
-    """(`qid`, `block`, `bound`): no vector of the block scores above `bound` for the query."""
-    directory = blocks.select("block", "pivot", "low", "high")
+    """(`qid`, `unit`, `bound`): no vector of the unit scores above `bound` for the query."""
+    directory = blocks.groupBy("unit", "pivot").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     both = _to_pivots(queries, centres).join(directory, "pivot")
     apart = F.greatest(F.col("low") - F.col("d"), F.col("d") - F.col("high"), F.lit(0.0))
     whole = F.col("own") + F.lit(norm * norm)
-    return both.select("qid", "block", ((whole - apart * apart) / 2 + whole * 1e-9).alias("bound"))
+    return both.select("qid", "unit", ((whole - apart * apart) / 2 + whole * 1e-9).alias("bound"))
 
 
 def exact_top_k(
@@ -107,20 +107,19 @@ def exact_top_k(
 
     blocks = index(found, centres, norm)
     left = materialize(bounds(blocks, queries, centres, norm), "bounds")
-    top = None
+    top = reached = None
     for width in (*WIDTHS, None):
         if top is not None:
-            # the k-th other vector's score so far, none if fewer are known
-            reached = top.groupBy("qid").agg(F.when(F.count(F.lit(1)) > k, F.min("score")).alias("_reached"))
-            left = left.join(reached, "qid", "left").filter(F.col("_reached").isNull() | (F.col("bound") >= F.col("_reached"))).drop("_reached")
+            reached = materialize(vectors.kth(top, k), "reached")
+            left = left.join(reached, "qid", "left").filter(F.col("reached").isNull() | (F.col("bound") >= F.col("reached"))).drop("reached")
         if width:
-            place = F.row_number().over(W.partitionBy("qid").orderBy(F.desc("bound"), "block"))
+            place = F.row_number().over(W.partitionBy("qid").orderBy(F.desc("bound"), "unit"))
             placed = materialize(left.withColumn("_place", place), "left")
             now, left = placed.filter(F.col("_place") <= width), placed.filter(F.col("_place") > width).drop("_place")
         else:
             now = left = materialize(left, "left")
         if now.isEmpty():
             break
-        scanned = vectors.scan(blocks, now.select("block", "qid"), queries, k + 1)
+        scanned = vectors.scan(blocks, now.select("unit", "qid"), queries, k + 1, reached)
         top = materialize(vectors.best(scanned if top is None else scanned.unionByName(top), k + 1), "top")
     return vectors.answer(ask, found, top, k, shown)

@@ -67,7 +67,8 @@ def lifted(x: np.ndarray, norm: float) -> np.ndarray:
 def pack(rows: DataFrame, keys: list[str], measure: str | None = None, size: int = BLOCK) -> DataFrame:
     """Blocks of (`keys[0]`, `vid`, `vec`): sorted by `keys`, a block holds one value of `keys[0]`.
 
-    Gives `block`, the first key, `low` and `high` of `measure` in the block, and the packed ids and matrix.
+    Gives `block`, the first key, `low` and `high` of `measure` in the block, the number of vectors `n`, and
+    the packed ids and matrix.
     """
     first, rest = keys[0], keys[1:]
 
@@ -83,10 +84,10 @@ def pack(rows: DataFrame, keys: list[str], measure: str | None = None, size: int
             vids, spans, vecs = (np.concatenate([h[i] for h in held]) for i in range(3))
             row = [
                 pa.array([(task << 32) | number], pa.int64()), pa.array([label], pa.int64()), pa.array([float(spans.min())]),
-                pa.array([float(spans.max())]), pa.array([vids.astype("<i8").tobytes()], pa.binary()), pa.array([vecs.astype("<f8").tobytes()], pa.binary()),
+                pa.array([float(spans.max())]), pa.array([len(vids)], pa.int64()), pa.array([vids.astype("<i8").tobytes()], pa.binary()), pa.array([vecs.astype("<f8").tobytes()], pa.binary()),
             ]
             held, number = [], number + 1
-            return pa.RecordBatch.from_arrays(row, ["block", first, "low", "high", "vids", "vecs"])
+            return pa.RecordBatch.from_arrays(row, ["block", first, "low", "high", "n", "vids", "vecs"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -110,41 +111,56 @@ def pack(rows: DataFrame, keys: list[str], measure: str | None = None, size: int
     span = F.col(measure) if measure else F.lit(0.0)
     ordered = rows.select(F.col(first).cast("bigint").alias(first), "vid", span.cast("double").alias("_span"), "vec", *[F.col(c).alias(f"_k{i}") for i, c in enumerate(rest)])
     ordered = ordered.repartitionByRange(first, *[f"_k{i}" for i in range(len(rest))]).sortWithinPartitions(first, *[f"_k{i}" for i in range(len(rest))])
-    packed = ordered.select(first, "vid", "_span", "vec").mapInArrow(run, f"block long, {first} long, low double, high double, vids binary, vecs binary")
+    packed = ordered.select(first, "vid", "_span", "vec").mapInArrow(run, f"block long, {first} long, low double, high double, n long, vids binary, vecs binary")
     return materialize(packed, "blocks")
 
 
-def scan(blocks: DataFrame, wanted: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """(`qid`, `vid`, `score`): the best k of each wanted (`block`, `qid`), ties to the smaller vid.
+def in_units(blocks: DataFrame, key: str, size: int = BLOCK) -> DataFrame:
+    """`blocks` with `unit`: neighbouring blocks of one key that together hold about `size` vectors, so the
+    number of units follows the data and not the number of tasks that packed it."""
+    before = W.partitionBy(key).orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    held = F.coalesce(F.sum("n").over(before), F.lit(0))
+    unit = (F.shiftleft(F.col(key), 32) + F.floor(held / F.lit(size))).cast("bigint")
+    return materialize(blocks.join(blocks.select("block", "n", key).select("block", unit.alias("unit")), "block"), "units")
 
-    A block meets its queries in groups of about `GROUP`, so neither side of a group grows with the data.
+
+def scan(blocks: DataFrame, wanted: DataFrame, queries: DataFrame, k: int, reached: DataFrame | None = None) -> DataFrame:
+    """(`qid`, `vid`, `score`): the best k of each wanted (`unit`, `qid`), ties to the smaller vid.
+
+    `reached` (`qid`, `reached`) leaves out what scores less than a query's k-th best so far. A unit
+    meets its queries in groups of about `GROUP`, so neither side of a group grows with the data.
     """
-    load = wanted.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("_groups"))
-    asked = wanted.join(load, "block").withColumn("_group", F.pmod(F.xxhash64("qid"), F.col("_groups")).cast("int"))
-    asked = asked.join(queries.select("qid", "vec"), "qid").select("block", "_group", "qid", "vec")
-    held = blocks.select("block", "vids", "vecs").join(load, "block").withColumn("_group", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)))
+    load = wanted.groupBy("unit").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("_groups"))
+    asked = wanted.join(load, "unit").withColumn("_group", F.pmod(F.xxhash64("qid"), F.col("_groups")).cast("int"))
+    known = queries.select("qid", "vec")
+    known = known.withColumn("reached", F.lit(None).cast("double")) if reached is None else known.join(reached, "qid", "left")
+    asked = asked.join(known, "qid").select("unit", "_group", "qid", "vec", F.coalesce("reached", F.lit(float("-inf"))).alias("reached"))
+    held = blocks.select("unit", "vids", "vecs").join(load, "unit").withColumn("_group", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        empty = {"qid": pa.array([], pa.int64()), "vid": pa.array([], pa.int64()), "score": pa.array([], pa.float64())}
         if not left.num_rows or not right.num_rows:
-            return pa.table(empty)
+            return pa.table({"qid": pa.array([], pa.int64()), "vid": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         qids = left.column("qid").to_numpy()
         asked = matrix(left.column("vec").combine_chunks())
-        vids = np.frombuffer(right.column("vids")[0].as_buffer(), "<i8")
-        vecs = np.frombuffer(right.column("vecs")[0].as_buffer(), "<f8").reshape(len(vids), -1)
-        score = asked @ vecs.T
+        vids = np.concatenate([np.frombuffer(b.as_buffer(), "<i8") for b in right.column("vids")])
+        vecs = np.concatenate([np.frombuffer(b.as_buffer(), "<f8") for b in right.column("vecs")]).reshape(len(vids), -1)
         order = np.argsort(vids, kind="stable")
+        vids, score = vids[order], asked @ vecs[order].T
         # stable by vid, then by falling score
-        best = order[np.argsort(-score[:, order], axis=1, kind="stable")[:, :k]]
-        return pa.table({
-            "qid": pa.array(np.repeat(qids, best.shape[1])), "vid": pa.array(vids[best].ravel()),
-            "score": pa.array(np.take_along_axis(score, best, axis=1).ravel()),
-        })
+        best = np.argsort(-score, axis=1, kind="stable")[:, :k]
+        value = np.take_along_axis(score, best, axis=1)
+        row, col = np.nonzero(value >= left.column("reached").to_numpy()[:, None])
+        return pa.table({"qid": pa.array(qids[row]), "vid": pa.array(vids[best[row, col]]), "score": pa.array(value[row, col])})
 
-    pairs = asked.groupBy("block", "_group").cogroup(held.select("block", "_group", "vids", "vecs").groupBy("block", "_group"))
+    pairs = asked.groupBy("unit", "_group").cogroup(held.select("unit", "_group", "vids", "vecs").groupBy("unit", "_group"))
     return pairs.applyInArrow(run, "qid long, vid long, score double")
 
 
+def kth(top: DataFrame, k: int) -> DataFrame:
+    """(`qid`, `reached`): the score of the last of k + 1 vectors known, for queries that have as many."""
+    return top.groupBy("qid").agg(F.when(F.count(F.lit(1)) > k, F.min("score")).alias("reached"))
+
+
 def best(scanned: DataFrame, k: int) -> DataFrame:
     """The k best of each query; a vector found in several blocks counts once."""
     once = scanned.groupBy("qid", "vid").agg(F.max("score").alias("score"))

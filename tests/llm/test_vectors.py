@@ -57,15 +57,16 @@ def test_bounds_hold_and_prune(spark, rows):
     found = vectors.distinct(vectors.usable(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), "vec_id", "embedding"), 5)
     norm = max(np.linalg.norm(r["vec"]) for r in found.collect())
     centres = topk.pivots(vectors.lifted(vectors.sample(found), norm))
-    keyed = vectors.pack(topk.index(found, centres, norm).limit(0).select("pivot", F.lit(0).cast("bigint").alias("vid"), F.array(F.lit(0.0)).alias("vec")), ["pivot", "vid"])
-    assert keyed.count() == 0
     blocks = topk.index(found, centres, norm)
     queries = found.limit(5).select(F.col("vid").alias("qid"), "vec")
-    packed = {b["block"]: np.frombuffer(b["vecs"]).reshape(-1, 8) for b in blocks.collect()}
+    packed = {}
+    for b in blocks.collect():
+        packed.setdefault(b["unit"], []).append(np.frombuffer(b["vecs"]).reshape(-1, 8))
+    packed = {u: np.vstack(parts) for u, parts in packed.items()}
     assert sum(map(len, packed.values())) == found.count()
     asked = {q["qid"]: np.array(q["vec"]) for q in queries.collect()}
     for r in topk.bounds(blocks, queries, centres, norm).collect():
-        assert (packed[r["block"]] @ asked[r["qid"]]).max() <= r["bound"]
+        assert (packed[r["unit"]] @ asked[r["qid"]]).max() <= r["bound"]
 
 
 def test_recall_of_posting_lists(table, rows):
@@ -100,3 +101,14 @@ def test_few_rows_and_empty_table(spark):
         df = spark.createDataFrame(rows, schema)
         assert topk.exact_top_k(df, F.col("id") % 50 == 0, 5).count() == 0
         assert ann.nearest(df, F.col("id") % 20 == 0, 20).count() == 0
+
+
+def test_a_lone_group_is_posted_where_it_is_looked_for(spark):
+    rng = np.random.default_rng(6)
+    crowd = rng.standard_normal((2000, 8)) * 0.1
+    lone = 5 + 0.01 * rng.standard_normal((40, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(np.vstack([crowd, lone]))]
+    got = answers(ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("id") % 20 == 0, 10, size=16, beam=32))
+    want = brute(rows, 20, 10, finite)
+    assert all(len(got[q]) == 10 for q in want)
+    assert np.mean([len({a for a, _ in got[q]} & {a for a, _ in want[q]}) / 10 for q in want]) >= 0.9
