@@ -21,6 +21,7 @@ ordered by text; an empty table writes no segment and reads as no rows.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -40,7 +41,7 @@ SELECT_STEP = 64
 _MAGIC = b"MRTS"
 _HEADER = struct.Struct("<4sHHQQQQqHHQQQ")
 
-_workers: dict[int, tuple] = {}
+_workers: dict[int, WordTable] = {}
 
 
 # --- Elias-Fano ----------------------------------------------------------------------------------
@@ -148,20 +149,68 @@ class Segment:
 # --- encoding ------------------------------------------------------------------------------------
 
 
-def _encoder(source: str) -> WordTable:
-    """One word table per worker and tokenizer."""
-    key = hash(source)
-    if key not in _workers:
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)").fullmatch
+# the byte-level alphabet: a printable Latin-1 byte is its own letter, the others are numbered from 256 on
+_HIDDEN = [b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE)]
+_LETTER = {b: 256 + n for n, b in enumerate(_HIDDEN)}
+
+
+class WordEncoder:
+    """Ids of words. A word of Latin letters with stops behind it is taken apart: its lower-case letters
+    and its stops go to the library's model directly, in its byte alphabet, each once, where the tokenizer
+    is of a kind that splits there (`apart`, tried on words made of its own vocabulary)."""
+
+    def __init__(self, source: str, most: int = 300_000):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(source)
-        dtype = np.uint16 if tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.tokenizer = Tokenizer.from_str(source)
+        self.model = self.tokenizer.model
+        self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.most, self.known = most, {"": []}
+        self.apart = True
+        names = [re.sub("[^a-z]", "", t) for t in sorted(self.tokenizer.get_vocab())]
+        accents = [chr(c) for c in range(0xC0, 0x100)]
+        names = [n + accents[i % 64] * (i % 3 == 0) for i, n in enumerate(names)]
+        probe = [f(a + b) + stops for a, b, (f, stops) in zip(
+            names[::37], names[11::37], [(str, ""), (str.title, "."), (str.upper, "?!,"), (str, ";:"), (str, "...")] * len(names), strict=False) if a + b]
+        self.apart = bool(probe) and self.ids(probe) == self._whole(probe)
+        self.known = {"": []}
+
+    def _whole(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)] if words else []
+
+    def _part(self, text: str) -> list[int]:
+        found = self.known.get(text)
+        if found is None:
+            if len(self.known) >= self.most:
+                self.known = {"": []}
+            letters = text if text.isascii() else text.encode().decode("latin-1").translate(_LETTER)
+            found = self.known[text] = [t.id for t in self.model.tokenize(letters)]
+        return found
+
+    def ids(self, words: list[str]) -> list[list[int]]:
+        parts = [_PLAIN(w) for w in words] if self.apart else [None] * len(words)
+        rest = iter(self._whole([w for w, m in zip(words, parts, strict=True) if m is None]))
+        known, part, out = self.known.get, self._part, []
+        for m in parts:
+            if m is None:
+                out.append(next(rest))
+                continue
+            letters, stops = m.groups()
+            letters = letters.lower()
+            ids = known(letters) or part(letters)
+            out.append(ids + part(stops) if stops else ids)
+            known = self.known.get
+        return out
 
-        def encode(words):
-            return [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)], [False] * len(words)
 
+def _encoder(source: str) -> WordTable:
+    """One word table per worker and tokenizer."""
+    key = hash(source)
+    if key not in _workers:
+        words = WordEncoder(source)
         _workers.clear()
-        _workers[key] = WordTable(encode, dtype)
+        _workers[key] = WordTable(lambda new: (words.ids(new), [False] * len(new)), words.dtype)
     return _workers[key]
 
 
@@ -199,7 +248,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, segment: int
 
         for batch in batches:
             doc_ids, at = batch.column(0).to_pylist(), 0
-            for texts in slices(pc.fill_null(batch.column(1), ""), segment * 4):
+            for texts in slices(pc.fill_null(batch.column(1), ""), segment * 8):
                 ids, upto, _ = table.gather(pc.ascii_split_whitespace(texts))
                 n = len(texts)
                 # the end id goes behind each document's ids

@@ -56,3 +56,15 @@ def test_large_ids_take_four_bytes():
     assert tokens.Segment(tokens.pack([-(1 << 62), (1 << 62)], np.array([0, 1]), np.array([9]), 0, 2)).doc_ids() == [-(1 << 62), 1 << 62]
     with pytest.raises(ValueError):
         tokens.Segment(b"x" * 100)
+
+
+def test_words_taken_apart_give_the_librarys_ids():
+    encoder = tokens.WordEncoder(SOURCE, most=50)
+    assert encoder.apart
+    draw = random.Random(8)
+    words = ["".join(draw.choice("aeinstrTHE.,!?'éÀßÿ×1") for _ in range(draw.randrange(1, 12))) for _ in range(5000)]
+    assert encoder.ids(words) == [e.ids for e in encoder.tokenizer.encode_batch(words, add_special_tokens=False)]
+    other = open(tokenizer_file("byte_bpe_50k.json"), encoding="utf-8").read()
+    plain = tokens.WordEncoder(other)
+    assert not plain.apart
+    assert plain.ids(words) == [e.ids for e in plain.tokenizer.encode_batch(words, add_special_tokens=False)]
