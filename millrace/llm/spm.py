@@ -32,6 +32,8 @@ from ..session import ship_package
 from .words import WordTable, slices
 
 MARK = "▁"
+# documents decoded at once: a list of ids takes far more room than the array
+LOT = 256
 # fixed values of the file format
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -229,11 +231,14 @@ def encode_documents(docs: DataFrame, model: bytes, text: str = "text", threads:
                 found, same = backend.encode(texts)
                 ids += found
                 agree += same
-                back += [a == b for a, b in zip(backend.decode(found), texts.to_pylist(), strict=True)]
+                for at in range(0, len(found), LOT):
+                    texts_of = texts.slice(at, LOT).to_pylist()
+                    back += [a == b for a, b in zip(backend.decode(found[at:at + LOT]), texts_of, strict=True)]
             sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
             offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32), pa.int32())
             sums = [zlib.crc32(i.astype("<u4").tobytes()) for i in ids]
+            ids.clear()
             yield pa.StructArray.from_arrays(
                 [pa.ListArray.from_arrays(offsets, flat), pa.array(sizes), pa.array(sums, pa.int64()), pa.array(agree, pa.bool_()), pa.array(back, pa.bool_())],
                 ["ids", "n_tokens", "ids_crc32", "parity", "round_trip"],
