@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-SPACE = r"\x20\x09-\x0D"
-
 SQL: dict[str, str] = {}
 
 SQL["op1_chat_format"] = r"""
