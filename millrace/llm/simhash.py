@@ -56,20 +56,28 @@ def _blocks(data: bytes, width: int) -> Iterator[list[bytes]]:
         carried = words[-(width - 1):] if width > 1 else []
 
 
-def fingerprint(text: str | None, width: int = SHINGLE, seed: int = 42) -> int:
-    """Majority of the bits of all shingles' XXH64, unsigned."""
-    ones, total = np.zeros(64, dtype=np.int64), 0
+def hashes(text: str | None, width: int, seed: int = 42) -> Iterator[list[int]]:
+    """XXH64 of all shingles, in runs; a text of fewer words is one shingle."""
+    total = 0
     digest = xxhash.xxh64_intdigest
     for words in _blocks((text or "").encode().translate(_LOWER), width):
         joined = b" ".join(words)
         if len(words) <= width:
-            hashes = [digest(joined, seed)] if words and (len(words) == width or not total) else []
+            found = [digest(joined, seed)] if words and (len(words) == width or not total) else []
         else:
             lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
             ends = np.cumsum(lengths + 1) - 1
-            hashes = [digest(joined[i:j], seed) for i, j in zip((ends - lengths).tolist(), ends[width - 1:].tolist(), strict=False)]
-        for i in range(0, len(hashes), 1 << 16):
-            part = np.array(hashes[i:i + (1 << 16)], dtype="<u8")
+            found = [digest(joined[i:j], seed) for i, j in zip((ends - lengths).tolist(), ends[width - 1:].tolist(), strict=False)]
+        total += len(found)
+        yield found
+
+
+def fingerprint(text: str | None, width: int = SHINGLE, seed: int = 42) -> int:
+    """Majority of the bits of all shingles' XXH64, unsigned."""
+    ones, total = np.zeros(64, dtype=np.int64), 0
+    for found in hashes(text, width, seed):
+        for i in range(0, len(found), 1 << 16):
+            part = np.array(found[i:i + (1 << 16)], dtype="<u8")
             ones += np.unpackbits(part.view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
             total += len(part)
     if not total:
@@ -151,7 +159,12 @@ def links(prints: DataFrame, few: int = FEW) -> DataFrame:
 def components(printed: DataFrame, few: int = FEW) -> DataFrame:
     """(`fp`, `component_id`) from (`doc_id`, `fp`)."""
     prints = materialize(printed.groupBy("fp").agg(F.min("doc_id").alias("_first")), "prints")
-    roots = materialize(connected(links(prints.select("fp"), few), "a", "b"), "roots")
+    return named_components(prints, links(prints.select("fp"), few))
+
+
+def named_components(prints: DataFrame, linked: DataFrame) -> DataFrame:
+    """(`fp`, `component_id`) from (`fp`, `_first`: its least doc_id) and links (`a`, `b`)."""
+    roots = materialize(connected(linked, "a", "b"), "roots")
     named = roots.join(prints, roots["node"] == prints["fp"]).select("fp", "root", "_first")
     least = named.groupBy("root").agg(F.min("_first").alias("_least"))
     joined = named.join(least, "root").select("fp", "_least")
@@ -171,7 +184,11 @@ def keep_one(docs: DataFrame, few: int = FEW) -> DataFrame:
     ship_package(docs.sparkSession, "millrace")
     rows = docs.select(F.struct("*").alias("_row"), fingerprints(F.col("text")).alias("fp"))
     rows = materialize(rows, "printed")
-    found = components(rows.select("_row.doc_id", "fp"), few)
+    return least_rows(rows, components(rows.select("_row.doc_id", "fp"), few))
+
+
+def least_rows(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Of (`_row`, `fp`) and (`fp`, `component_id`) the row that stands for each component."""
     first = rows.join(found, "fp").filter(F.col("_row.doc_id").eqNullSafe(F.col("component_id")))
     # only repeats of one id are left to choose from; those without any id are told apart by fingerprint
     own = W.partitionBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp"))).orderBy(F.xxhash64("_row.text"), F.to_json("_row"))
