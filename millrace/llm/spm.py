@@ -176,10 +176,11 @@ class Backend:
         self.words = WordTable(self._verified, np.int32)
 
     def _verified(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
-        """Ids, and where the backend's own differ from sentencepiece's, which then stand."""
+        """The backend's own ids, and where they differ from sentencepiece's, which then stand."""
         own = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         want = self.reference.encode(texts, num_threads=1)
-        return want, [a != b for a, b in zip(own, want, strict=True)]
+        differs = [a != b for a, b in zip(own, want, strict=True)]
+        return [b if d else a for a, b, d in zip(own, want, differs, strict=True)], differs
 
     def encode(self, texts: pa.StringArray) -> tuple[list[np.ndarray], list[bool]]:
         """Ids per text and whether both libraries agree on it."""

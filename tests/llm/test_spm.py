@@ -53,6 +53,25 @@ def test_words_of_a_full_table_are_encoded_again(reference):
         assert [i.tolist() for i in ids] == [reference.encode(t) for t in texts] and all(agree)
 
 
+class Ids(list):
+    """Ids known to come from the rebuilt tokenizer."""
+
+
+def test_ids_are_the_backends_own_where_both_agree(reference):
+    backend = spm.Backend(FILE)
+    own = backend.tokenizer
+
+    class Marked:
+        def encode_batch_fast(self, texts, add_special_tokens):
+            found = [e.ids for e in own.encode_batch_fast(texts, add_special_tokens=add_special_tokens)]
+            return [type("Encoded", (), {"ids": Ids([7] if t == "odd" else i)}) for t, i in zip(texts, found, strict=True)]
+
+    backend.tokenizer = Marked()
+    ids, differs = backend._verified(["Hello world", "odd"])
+    assert differs == [False, True] and isinstance(ids[0], Ids)
+    assert ids == reference.encode(["Hello world", "odd"])
+
+
 def message(*parts):
     out = b""
     for number, value in parts:
