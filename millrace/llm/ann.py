@@ -5,8 +5,9 @@ lists have their size, so lists are balanced by construction. They are searched
 each centroid knows its nearest ones, and a beam of the best candidates so far is widened until it
 holds no unvisited one. A vector is posted to its nearest centroid and, near a boundary, to further
 ones that are almost as near and lie in other directions (relative neighbourhood rule), so a query
-that falls on the other side still meets it. A query reads the lists whose centroids are within a
-ratio of its nearest one's distance. Posted vectors lie in blocks of bounded size, so a list may hold
+that falls on the other side still meets it. A query reads all lists whose centroids are within a
+ratio of the distance at which the nearest one's vectors lie, and further ones until they hold k + 1 vectors: its beam widens until
+both hold, and beyond `WIDEST` all centroids are measured. Posted vectors lie in blocks of bounded size, so a list may hold
 any share of the data. Inner products become distances by one more component (`vectors.lifted`).
 
 Every vector is indexed; the sample only places centroids. Recall against brute force is in the
@@ -33,11 +34,12 @@ NEAR = 1.15
 RATIO = 1.3
 DEGREE = 16
 BEAM = 64
-STEPS = (4, 16)
+WIDEST = 256
+STEP = 4
 
 
-def centroids(sample: np.ndarray, lists: int) -> np.ndarray:
-    """`lists` (a power of two) means of equal shares of the sample."""
+def centroids(sample: np.ndarray, lists: int) -> tuple[np.ndarray, np.ndarray]:
+    """`lists` (a power of two) means of equal shares of the sample, and the mean squared distance of each share to it."""
     groups = [sample]
     while len(groups) < lists and all(len(g) > 1 for g in groups):
         halves = []
@@ -51,7 +53,7 @@ def centroids(sample: np.ndarray, lists: int) -> np.ndarray:
             order = np.argsort((g - middle) @ way, kind="stable")
             halves += [g[order[:len(g) // 2]], g[order[len(g) // 2:]]]
         groups = halves
-    return np.stack([g.mean(axis=0) for g in groups])
+    return np.stack([g.mean(axis=0) for g in groups]), np.array([((g - g.mean(axis=0)) ** 2).sum(axis=1).mean() for g in groups])
 
 
 class Graph:
@@ -113,6 +115,31 @@ class Graph:
                 twice[:, j] = (new[:, :j] == new[:, j:j + 1]).any(axis=1)
             merge(new, np.where(seen | twice, far, self._measure(x, new)))
 
+    def reading(self, x: np.ndarray, homes: np.ndarray, spread: np.ndarray, least: int, ratio: float = RATIO, beam: int = BEAM) -> list[np.ndarray]:
+        """Per row all centroids within `ratio` of the distance of the nearest one's vectors, and more until their `homes` add
+        up to `least`; nearest first."""
+        out: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * len(x)
+        going, n = np.arange(len(x)), len(self.centres)
+        while len(going):
+            whole = beam >= n or beam > WIDEST
+            if whole:
+                dist = _squared(x[going], self.centres)
+                ids = np.argsort(dist, axis=1, kind="stable")
+                dist = np.take_along_axis(dist, ids, axis=1)
+            else:
+                ids, dist = self.search(x[going], beam)
+            held = np.where(ids >= 0, homes[np.maximum(ids, 0)], 0)
+            nearer = np.cumsum(held, axis=1) - held
+            # a centroid between two groups is near where none of its vectors are: vectors lie at its distance plus its spread
+            met = np.where(ids >= 0, dist + spread[np.maximum(ids, 0)], np.inf).min(axis=1, keepdims=True)
+            # a query on top of a centroid would read that list alone, however few vectors it holds
+            kept = (dist <= np.maximum(met, 0) * ratio * ratio) | (nearer < least) | (np.arange(ids.shape[1]) < STEP)
+            ended = np.full(len(going), True) if whole else ~kept[:, -1]
+            for i in np.flatnonzero(ended):
+                out[going[i]] = ids[i, kept[i] & (ids[i] >= 0)]
+            going, beam = going[~ended], beam * 4
+        return out
+
     def _measure(self, x: np.ndarray, nodes: np.ndarray) -> np.ndarray:
         c = self.centres[nodes]
         return np.einsum("ijk,ijk->ij", c, c) - 2 * np.einsum("ik,ijk->ij", x, c) + np.einsum("ik,ik->i", x, x)[:, None]
@@ -173,26 +200,30 @@ def nearest(
 
     norm = float(square) ** 0.5
     lists = min(MOST_LISTS, 1 << max(0, math.ceil(math.log2(n / size))))
-    centres = centroids(vectors.lifted(vectors.sample(found), norm), lists)
+    centres, spread = centroids(vectors.lifted(vectors.sample(found), norm), lists)
 
     def post(graph: Graph, x: np.ndarray) -> list[np.ndarray]:
         return postings(graph, vectors.lifted(x, norm))
 
+    homes = np.zeros(len(centres), dtype=np.int64)
+
     def read(graph: Graph, x: np.ndarray) -> list[np.ndarray]:
-        ids, dist = graph.search(np.hstack([x, np.zeros((len(x), 1))]), beam)
-        # a query on top of a centroid would read that list alone, however few vectors it holds
-        kept = (ids >= 0) & ((dist <= dist[:, :1] * ratio * ratio) | (np.arange(ids.shape[1]) < STEPS[0]))
-        return [row[ok] for row, ok in zip(ids, kept, strict=True)]
+        return graph.reading(np.hstack([x, np.zeros((len(x), 1))]), homes, spread, k + 1, ratio, beam)
 
     posted = materialize(_spread(found, "vid", post, centres), "postings")
+    # every vector is at home in one list
+    for r in posted.filter("place = 0").groupBy("list").count().collect():
+        homes[r["list"]] = r["count"]
     blocks = vectors.in_units(vectors.pack(posted, ["list", "vid"]), "list")
     lookups = _spread(queries, "qid", read, centres).select("list", "qid", "place")
     wanted = materialize(lookups.join(blocks.select("list", "unit").distinct(), "list"), "wanted")
     top = reached = None
-    for low, high in zip((0, *STEPS), (*STEPS, beam), strict=True):
+    low, high = 0, STEP
+    while low < len(centres):
         # what the nearest lists hold sets the score that vectors of further ones must reach
         now = wanted.filter((F.col("place") >= low) & (F.col("place") < high)).select("unit", "qid")
         scanned = vectors.scan(blocks, now, queries, k + 1, reached)
         top = materialize(vectors.best(scanned if top is None else scanned.unionByName(top), k + 1), "top")
         reached = materialize(vectors.kth(top, k), "reached")
+        low, high = high, high * 4
     return vectors.answer(ask, found, top, k, F.col("score"))

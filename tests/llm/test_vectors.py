@@ -112,3 +112,20 @@ def test_a_lone_group_is_posted_where_it_is_looked_for(spark):
     want = brute(rows, 20, 10, finite)
     assert all(len(got[q]) == 10 for q in want)
     assert np.mean([len({a for a, _ in got[q]} & {a for a, _ in want[q]}) / 10 for q in want]) >= 0.9
+
+
+def test_more_lists_than_the_beam(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((3000, 8 * 4)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = answers(ann.nearest(df, F.col("id") % 20 == 0, 10, size=12, beam=16))
+    want = brute(rows, 20, 10, lambda v: True)
+    assert np.mean([len({a for a, _ in got[q]} & {a for a, _ in want[q]}) / 10 for q in want]) >= 0.95
+
+
+def test_lists_are_read_until_they_hold_enough(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((1200, 4)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = answers(ann.nearest(df, F.col("id") % 20 == 0, 200, size=5, beam=8, ratio=1.0))
+    assert len(got) == 60 and all(len(found) == 200 for found in got.values())
