@@ -66,3 +66,17 @@ SELECT doc_id, size, source_size, target, source,
   CAST(size * (epochs + CASE WHEN 2 * sofar + size <= 2 * rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM summed
 """
+
+SQL["op11_line_dedup"] = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, -9223372036854775808) AS d, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+split AS (SELECT r, d, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM docs),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM split),
+shared AS (
+  SELECT key, max(d) AS top FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT d) >= 3),
+marked AS (
+  SELECT k.*, s.key IS NOT NULL AND k.d <> s.top AS gone FROM keyed k LEFT JOIN shared s ON k.key = s.key),
+kept AS (
+  SELECT r, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS body FROM marked GROUP BY r)
+SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_dropped AS BIGINT) AS n_dropped, sha256(body) AS kept_sha256 FROM docs JOIN kept USING (r)
+"""

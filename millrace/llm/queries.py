@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, materialize, ship_package
-from . import ann, chat, mixing, pii, quality, sharding, simhash, spm, tokens, topk
+from . import ann, chat, lines, mixing, pii, quality, sharding, simhash, spm, tokens, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -116,3 +116,10 @@ def op9_personal_data(spark, sf):
 def op10_source_mix(spark, sf):
     mixed = mixing.mix(table(spark, sf, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "times")
+
+
+@query
+def op11_line_dedup(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    kept = lines.apply_bitmaps(docs, lines.keep_bitmaps(docs))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
