@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, materialize, ship_package
-from . import ann, chat, lines, mixing, pii, quality, sharding, simhash, spm, tokens, topk
+from . import ann, chat, lines, mixing, pii, quality, sharding, simhash, spm, tokens, topk, whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -123,3 +123,8 @@ def op11_line_dedup(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     kept = lines.apply_bitmaps(docs, lines.keep_bitmaps(docs))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op12_whitening(spark, sf):
+    return whiten.whitened_rows(table(spark, sf, "embeddings"), "vec_id", "embedding")
