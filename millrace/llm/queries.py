@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, materialize, ship_package
-from . import ann, chat, lines, mixing, pii, quality, sharding, simhash, spm, tokens, topk, whiten
+from . import align, ann, chat, lines, mixing, pii, quality, sharding, simhash, spm, tokens, topk, whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -128,3 +128,9 @@ def op11_line_dedup(spark, sf):
 @query
 def op12_whitening(spark, sf):
     return whiten.whitened_rows(table(spark, sf, "embeddings"), "vec_id", "embedding")
+
+
+@query
+def op13_cross_tokenizer(spark, sf):
+    with open(tokenizer_file("byte_bpe_50k.json"), encoding="utf-8") as f:
+        return align.aligned(table(spark, sf, "documents"), f.read(), model_file("piece_bpe_32k.model"))
