@@ -201,7 +201,9 @@ def keep_bitmaps(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS
 ) -> DataFrame:
     """(`doc`, `body`, `n_dropped`, `keep` array<struct<span int, bits binary>>) of the documents that lose lines."""
-    lost = lost_lines(line_rows(docs, doc_id, text, least_chars), least_docs)
+    # ranges are sampled before rows are dealt out: the narrow rows are read twice, the texts once
+    rows = materialize(line_rows(docs, doc_id, text, least_chars), "line_rows")
+    lost = lost_lines(rows, least_docs)
     # as a set: rows that are repeated lose the same lines
     spans = lost.groupBy("doc", "body", F.floor(F.col("pos") / SPAN).cast("int").alias("span")).agg(F.collect_set(F.col("pos") % SPAN).alias("gone"))
     bits = F.arrow_udf(_deflated, "binary")(F.col("gone"))
