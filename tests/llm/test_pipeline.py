@@ -19,8 +19,8 @@ def test_registered_query(spark, name):
     assert check(spark, duck(SF), SF, name, entry.queries()[name], entry.oracle_sql().get(name)) is None
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in NAMES) == list(range(1, 11)) and "pipeline" in entry.queries()
+def test_all_operators_and_the_pipeline_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in NAMES) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_stages(spark):
