@@ -52,9 +52,20 @@ def hwm_after(df: DataFrame, hwm: str, since: Any, text_order: bool = False) ->
     """The condition behind `hwm_filter`, for counting."""
     if text_order:
         return hwm_gt(hwm, since)
+    return F.col(hwm) > _mark(df, hwm, since)
+
+
+def hwm_upto(df: DataFrame, hwm: str, mark: Any, text_order: bool = False) -> Column:
+    """Marks at or before `mark`; NULL marks are not."""
+    if text_order:
+        return F.col(hwm).isNotNull() & (hwm_key(hwm) <= hwm_key(F.lit(str(mark))))
+    return F.col(hwm) <= _mark(df, hwm, mark)
+
+
+def _mark(df: DataFrame, hwm: str, since: Any) -> Column:
     # dates and times go in as text: a time literal would pass through the session's zone
     text = since.isoformat(sep=" ") if isinstance(since, datetime) else since.isoformat() if isinstance(since, date) else since
-    return F.col(hwm) > F.lit(text).cast(df.schema[hwm].dataType)
+    return F.lit(text).cast(df.schema[hwm].dataType)
 
 
 def order_value(df: DataFrame, hwm: str, text_order: bool = False) -> Column:

@@ -71,18 +71,36 @@ def hwm_chunks(df: DataFrame, hwm: str, n: int, text_order: bool = False) -> Dat
     after a chunk never hides half of a tie. Only the counts per distinct mark are ordered; rows
     are counted before the shuffle, and one mark holding most rows is one row here.
     """
+    ranked, marks = _ranked_marks(df, hwm, text_order)
+    lookup = _chunk(ranked, "_last", n, "_order")
+    if text_order:
+        lookup = marks.select("_mark", "_order").join(lookup, "_order").drop("_order")
+    else:
+        lookup = lookup.withColumnRenamed("_order", "_mark")
+    return df.join(lookup, F.col(hwm) == F.col("_mark")).drop("_mark")
+
+
+def hwm_cuts(df: DataFrame, hwm: str, n: int, per: int, most: int, text_order: bool = False) -> DataFrame:
+    """(`group`, `mark`, `rows`, `batches`): the batches of `hwm_chunks` in runs of `per`, or of as many as
+    bring the number of groups down to about `most`; `mark` is a group's last one. Only marks are read."""
+    ranked, _ = _ranked_marks(df.select(hwm), hwm, text_order)
+    ranked = materialize(ranked.withColumn("_chunk", F.floor((F.col("_upto") - F.col("_n")) / F.lit(n))), "marks")
+    last = ranked.agg(F.max("_chunk")).first()[0] or 0
+    run = max(per, -(-(last + 1) // most))
+    groups = ranked.groupBy(F.floor(F.col("_chunk") / run).cast("bigint").alias("group"))
+    return groups.agg(F.max_by("_last", "_upto").alias("mark"), F.sum("_n").alias("rows"), F.count_distinct("_chunk").alias("batches"))
+
+
+def _ranked_marks(df: DataFrame, hwm: str, text_order: bool) -> tuple[DataFrame, DataFrame]:
+    """Distinct marks with their rows `_n` and the rows up to them `_upto`, and every spelling of a mark."""
     marks = df.filter(F.col(hwm).isNotNull()).groupBy(F.col(hwm).alias("_mark")).agg(F.count(F.lit(1)).alias("_n"))
     if text_order:
         # '10' and '10.0' are one mark: tie on the number, keep both spellings
         marks = marks.withColumn("_order", order_value(marks, "_mark", True))
         groups = marks.groupBy("_order").agg(F.sum("_n").alias("_n"), F.max("_mark").alias("_last"))
-        ranked = running_total(groups, ["_order"], {"_upto": F.col("_n")})
-        chunked = _chunk(ranked, "_last", n, "_order")
-        lookup = marks.select("_mark", "_order").join(chunked, "_order").drop("_order")
-    else:
-        ranked = running_total(marks, ["_mark"], {"_upto": F.col("_n")}).withColumn("_last", F.col("_mark"))
-        lookup = _chunk(ranked, "_last", n, "_mark")
-    return df.join(lookup, F.col(hwm) == F.col("_mark")).drop("_mark")
+        return running_total(groups, ["_order"], {"_upto": F.col("_n")}), marks
+    ranked = running_total(marks, ["_mark"], {"_upto": F.col("_n")})
+    return ranked.withColumnRenamed("_mark", "_order").withColumn("_last", F.col("_order")), marks
 
 
 def _chunk(ranked: DataFrame, last: str, n: int, key: str) -> DataFrame:

@@ -1,13 +1,14 @@
-"""Writing tables: append, full replacement, replay-safe batches, sorted layouts, merged buckets."""
+"""Writing tables: append, replacement, snapshots behind a pointer, replay-safe batches, sorted layouts, merged buckets."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import hadoop_path, materialize, path_exists
+from ..session import hadoop_path, materialize, path_exists, read_text, replace_text
 
 
 def upper_columns(df: DataFrame) -> DataFrame:
@@ -21,19 +22,93 @@ def append(df: DataFrame, path: str) -> int:
     return int(seen.get.get("n") or 0)
 
 
-def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace a table that the rows may themselves be read from: write beside it, then swap."""
-    spark = df.sparkSession
-    fresh = path.rstrip("/") + "__next"
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(fresh)
-    fs, old = hadoop_path(spark, path)
-    _, new = hadoop_path(spark, fresh)
-    fs.delete(old, True)
+def _swap(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put a finished folder in the place of another. The old one steps aside first and goes last, so a
+    crash in between leaves it beside the table, where `_recover` finds it."""
+    fs, new = hadoop_path(spark, fresh)
+    _, old = hadoop_path(spark, path)
+    _, aside = hadoop_path(spark, path.rstrip("/") + "__before")
+    if fs.exists(old):
+        fs.delete(aside, True)
+        if not fs.rename(old, aside):
+            raise OSError(f"could not move {path} aside")
     if not fs.rename(new, old):
+        fs.rename(aside, old)
         raise OSError(f"could not move {fresh} to {path}")
+    fs.delete(aside, True)
     spark.catalog.refreshByPath(path)
 
 
+def _recover(spark: SparkSession, path: str) -> None:
+    """Undo a swap that was cut off between its two renames."""
+    fs, old = hadoop_path(spark, path)
+    _, aside = hadoop_path(spark, path.rstrip("/") + "__before")
+    if not fs.exists(old) and fs.exists(aside):
+        fs.rename(aside, old)
+
+
+def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Replace a plain folder that the rows may themselves be read from: write beside it, then swap.
+
+    Readers of a plain path may meet the moment between two renames; `replace_snapshot` has none.
+    """
+    _recover(df.sparkSession, path)
+    fresh = path.rstrip("/") + "__next"
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(fresh)
+    _swap(df.sparkSession, fresh, path)
+
+
+_POINTER, _VERSION = "_current", "_v-"
+
+
+def replace_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = (), keep: int = 2) -> DataFrame:
+    """Replace a table as one step and return the new content.
+
+    Each content is a folder of its own under `path`; one small file names the current one and is
+    swapped in by a rename when the folder is complete. Readers (`read_snapshot`) resolve it once, so
+    they see the old or the new table and never none, and a writer that dies leaves the old one. The
+    last `keep` contents stay for readers that still use them; older ones and cut-off ones are removed.
+    """
+    spark, root = df.sparkSession, path.rstrip("/")
+    found = _versions(spark, root)
+    # two writers at once have folders of their own; the later swap wins
+    name = f"{_VERSION}{_number(found[-1]) + 1 if found else 1:012d}-{uuid.uuid4().hex[:8]}"
+    df.write.partitionBy(*partition_by).parquet(f"{root}/{name}")
+    kept = [name, *_pointed(spark, root)][:keep]
+    replace_text(spark, f"{root}/{_POINTER}", "\n".join(kept))
+    fs, _ = hadoop_path(spark, root)
+    for old in found:
+        if _number(old) < min(map(_number, kept)):
+            fs.delete(hadoop_path(spark, f"{root}/{old}")[1], True)
+    return read_snapshot(spark, root)
+
+
+def _number(name: str) -> int:
+    return int(name.split("-")[1])
+
+
+def _versions(spark: SparkSession, root: str) -> list[str]:
+    """Folders of contents, also of those that were cut off, in the order they were begun."""
+    fs, p = hadoop_path(spark, root)
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(n for n in names if n.startswith(_VERSION))
+
+
+def _pointed(spark: SparkSession, root: str) -> list[str]:
+    """The contents that stood, the current one first."""
+    return (read_text(spark, f"{root}/{_POINTER}") or "").split()
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The current content of a table written by `replace_snapshot`; a frame read before a
+    replacement keeps reading what it resolved."""
+    root = path.rstrip("/")
+    names = _pointed(spark, root)
+    if not names:
+        raise FileNotFoundError(f"{root} has no current content")
+    return spark.read.parquet(f"{root}/{names[0]}")
+
+
 def write_batch(df: DataFrame, batch: str, path: str, name: str = "_batch_id") -> None:
     """Land a batch in its own partition; a replay of the batch replaces it."""
     (
@@ -81,11 +156,16 @@ def write_ndjson(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def log_transfer(spark: SparkSession, path: str, rows: DataFrame) -> bool:
-    """Append transfer-log rows; a failing log never fails the load."""
+def log_transfer(spark: SparkSession, path: str, rows: DataFrame, entry: str) -> bool:
+    """Add transfer-log rows as the entry's own partition, with a `log_id` that follows from its name.
+
+    Writers share no folder while they write: each stages in one of its own and moves one partition in,
+    so any number of them may log at once, and an entry logged again replaces itself. A failing log
+    never fails the load; what is returned is whether the entry stands in the table.
+    """
     try:
-        rows.write.mode("append").parquet(path)
-        return True
+        write_batch(rows.withColumn("log_id", F.xxhash64(F.lit(entry)).bitwiseAND((1 << 63) - 1)), entry, path, "_entry")
+        return not spark.read.parquet(path).filter(F.col("_entry") == entry).isEmpty()
     except Exception as exc:  # noqa: BLE001 - best effort by design
         spark.sparkContext._jvm.org.slf4j.LoggerFactory.getLogger("millrace").warn(f"transfer log: {exc}")
         return False
@@ -103,41 +183,26 @@ def write_buckets(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -
     _keep_count(df.sparkSession, path, buckets)
 
 
-def _count_file(spark: SparkSession, path: str):
-    return hadoop_path(spark, f"{path.rstrip('/')}/_bucket_count")
+def _count_file(path: str) -> str:
+    return f"{path.rstrip('/')}/_bucket_count"
 
 
 def bucket_count(spark: SparkSession, path: str) -> int | None:
     """The number of buckets a table was written with; None where nothing was kept."""
-    fs, p = _count_file(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        return int(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
+    text = read_text(spark, _count_file(path))
+    return None if text is None else int(text)
 
 
 def _keep_count(spark: SparkSession, path: str, buckets: int) -> None:
-    fs, p = _count_file(spark, path)
-    stream = fs.create(p, True)
-    try:
-        stream.write(bytearray(str(buckets), "utf-8"))
-    finally:
-        stream.close()
+    replace_text(spark, _count_file(path), str(buckets))
 
 
 def rebucket(spark: SparkSession, path: str, keys: Sequence[str], buckets: int) -> None:
     """Write a bucketed table anew with another number of buckets."""
+    _recover(spark, path)
     fresh = path.rstrip("/") + "__rebucket"
     write_buckets(spark.read.parquet(path).drop("_bucket"), fresh, keys, buckets)
-    fs, old = hadoop_path(spark, path)
-    _, new = hadoop_path(spark, fresh)
-    fs.delete(old, True)
-    if not fs.rename(new, old):
-        raise OSError(f"could not move {fresh} to {path}")
-    spark.catalog.refreshByPath(path)
+    _swap(spark, fresh, path)
 
 
 def merge_buckets(

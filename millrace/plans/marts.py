@@ -14,7 +14,7 @@ from ..operators.joins import asof_join, current_join, star_join
 from ..operators.merge import new_rows
 from ..operators.positions import assign_ids
 from ..operators.scd2 import scd2_changes
-from ..operators.tables import overwrite
+from ..operators.tables import replace_snapshot
 from ..session import configure, in_parallel
 from . import staging
 
@@ -189,12 +189,11 @@ def backfill(
     batch_ts: Column,
     calendar: tuple[str, str] = CALENDAR,
 ) -> dict[str, DataFrame]:
-    """Replace STAGING by the canonical views and build MARTS from it; tables land under `out`."""
+    """Replace STAGING by the canonical views and build MARTS from it; tables land under `out` and are
+    read with `read_snapshot`, also while they are replaced."""
 
     def put(df: DataFrame, name: str) -> DataFrame:
-        path = f"{out}/{name}"
-        overwrite(df, path)
-        return spark.read.parquet(path)
+        return replace_snapshot(df, f"{out}/{name}")
 
     configure(spark)
     t: dict[str, DataFrame] = {}

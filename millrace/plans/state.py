@@ -14,7 +14,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import hadoop_path
+from ..session import hadoop_path, read_text, replace_text
 
 STATUS_SCHEMA = (
     "source string, table string, status string, rows bigint, hwm string, hwm_type string, updated_at string"
@@ -55,14 +55,9 @@ class LoadState:
         return f"{self.path}/{re.sub(r'[^A-Za-z0-9_.$-]', '_', source)}@{table}.json"
 
     def _read(self, path: str) -> dict | None:
-        fs, p = hadoop_path(self.spark, path)
-        if not fs.exists(p):
+        text = read_text(self.spark, path)
+        if text is None:
             return None
-        stream = fs.open(p)
-        try:
-            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
         try:
             found = json.loads(text)
         except ValueError as exc:
@@ -72,20 +67,8 @@ class LoadState:
 
     def _write(self, source: str, table: str, record: dict) -> None:
         record = {**record, "source": source, "table": table, "updated_at": _now()}
-        fs, final = hadoop_path(self.spark, self._file(source, table))
-        _, fresh = hadoop_path(self.spark, self._file(source, table) + f".{id(record)}.tmp")
-        fs.mkdirs(final.getParent())
-        stream = fs.create(fresh, True)
-        try:
-            stream.write(bytearray(json.dumps(record, sort_keys=True), "utf-8"))
-        finally:
-            stream.close()
         # replaces the record in one step; deleting it first could lose the mark
-        jvm, gateway = self.spark.sparkContext._jvm, self.spark.sparkContext._gateway
-        over = gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
-        over[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
-        context.rename(fs.makeQualified(fresh), fs.makeQualified(final), over)
+        replace_text(self.spark, self._file(source, table), json.dumps(record, sort_keys=True))
 
     def record(self, source: str, table: str) -> dict:
         return self._read(self._file(source, table)) or {}

@@ -11,6 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from typing import Any
 
+from py4j.java_gateway import is_instance_of
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
@@ -128,6 +129,43 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small file; None where there is none."""
+    fs, p = hadoop_path(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file beside the old one and swap it in by one rename: readers see the old or the new."""
+    fs, final = hadoop_path(spark, path)
+    _, fresh = hadoop_path(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    checked = is_instance_of(gateway, fs, "org.apache.hadoop.fs.ChecksumFileSystem")
+    # a checksum beside the file would be swapped in a step of its own
+    plain = fs.getRawFileSystem() if checked else fs
+    plain.mkdirs(final.getParent())
+    stream = plain.create(fresh, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    if checked:
+        plain.delete(fs.getChecksumFile(final), False)
+        if not plain.rename(fresh, final):
+            raise OSError(f"could not replace {path}")
+        return
+    over = gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+    over[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(fresh), fs.makeQualified(final), over)
+
+
 def local_uri(path: str) -> str:
     """Absolute form of a plain local path; URIs pass through."""
     return path if "://" in path or path.startswith("file:") else os.path.abspath(path)

@@ -58,6 +58,8 @@ READERS: dict[str, Callable[..., DataFrame]] = {
 }
 # file formats without types order their text marks by number where they can
 TEXT_ORDER = {"csv", "excel"}
+# sources whose reading is not cut by a filter
+READ_ONCE = {"rest", "excel"}
 
 
 def read_source(spark: SparkSession, source: Mapping[str, Any], table: str, hwm: str, since: Any = None) -> DataFrame:

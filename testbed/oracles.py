@@ -117,6 +117,8 @@ REGION = ("CASE WHEN state IN ('NY','NJ','CT','MA','PA') THEN 'Northeast' WHEN s
           "WHEN state = 'TX' THEN 'South' WHEN state = 'IL' THEN 'Midwest' ELSE 'Other' END")
 TRACKED = ("first_name", "last_name", "birth_date", "gender", "city", "state")
 BATCHES = ("1996-01-01 00:00:00", "1998-01-01 00:00:00", "2000-01-01 00:00:00")
+# rows per batch and batches per checkpoint of the load that is stopped
+RESUME_BATCH, RESUME_RUN = 100, 2
 AS_OF = (f"load_ts < TIMESTAMP '{BATCHES[0]}'", f"load_ts < TIMESTAMP '{BATCHES[1]}'", "true")
 
 
@@ -341,6 +343,20 @@ def sql() -> dict[str, str]:
         CAST(CASE WHEN c_acctbal < 1000 THEN 5000 ELSE c_nationkey * 100 + 100 END AS BIGINT) AS batch_size,
         CASE WHEN c_nationkey < 10 THEN 'ssn' END AS ssn_policy FROM customer WHERE c_acctbal >= 0"""
     o["parallel_loads"] = " UNION ALL ".join(f"SELECT 'parquet' AS source, '{t}' AS target, count(*) AS rows_read, count(*) AS rows_written FROM {t}" for t in ("events", "orders", "customer"))
+    chunks = f"SELECT ts, n, (upto - n) // {RESUME_BATCH} AS chunk FROM (SELECT ts, n, sum(n) OVER (ORDER BY ts) AS upto FROM (SELECT ts, count(*) AS n FROM {{}} GROUP BY ts))"
+    run = f"greatest({RESUME_RUN}, ((SELECT max(chunk) FROM {{}}) + 64) // 64)"
+    o["resumed_load"] = f"""WITH c1 AS ({chunks.format('events')}), g1 AS (SELECT ts, chunk // {run.format('c1')} AS step FROM c1),
+        done AS (SELECT * FROM g1 WHERE step IN (SELECT DISTINCT step FROM g1 ORDER BY step LIMIT 3)),
+        rest AS (SELECT * FROM events WHERE ts > (SELECT max(ts) FROM done)),
+        c2 AS ({chunks.format('rest')}), g2 AS (SELECT ts, chunk // {run.format('c2')} AS step FROM c2),
+        steps AS (SELECT ts, dense_rank() OVER (ORDER BY step) - 1 AS step FROM done UNION ALL SELECT ts, 2 + dense_rank() OVER (ORDER BY step) FROM g2)
+        SELECT CAST(step AS BIGINT) AS step, count(*) AS n_rows, min(ts) AS first_ts, max(ts) AS last_ts, count(DISTINCT event_id) AS n_events,
+          CASE WHEN step >= 3 THEN CAST((SELECT count(DISTINCT chunk) FROM c2) AS BIGINT) END AS rerun_batches
+        FROM events JOIN steps USING (ts) GROUP BY step"""
+    o["configured_job"] = """SELECT 'CUSTOMER_RAW' AS target, c_custkey AS "C_CUSTKEY", '***REDACTED***' AS "C_NAME", sha256('s' || c_mktsegment) AS "C_MKTSEGMENT",
+          CAST(NULL AS BIGINT) AS "O_ORDERKEY", NULL AS "O_ORDERSTATUS", (SELECT count(*) FROM customer) AS rows_read, (SELECT count(*) FROM customer) AS rows_written FROM customer
+        UNION ALL SELECT 'orders', NULL, NULL, NULL, o_orderkey, o_orderstatus, (SELECT count(*) FROM orders), (SELECT count(*) FROM orders) FROM orders"""
+    o["snapshot_swap"] = "SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN 'before' ELSE 'current' END AS version FROM orders"
     o["run_totals"] = """SELECT event_type AS run_id, count(*) AS n_tables, CAST(sum(user_id) AS BIGINT) AS rows_read, CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS rows_written
         FROM events GROUP BY 1"""
 

@@ -23,7 +23,7 @@ from millrace.sources import files, landing, registry, synth, workbook
 from millrace.streaming import alerts, ingest, maintain
 
 from .adapter import encounter_documents, patient_id, raw_encounters, raw_patients, table
-from .oracles import BATCHES
+from .oracles import BATCHES, RESUME_BATCH, RESUME_RUN
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -313,6 +313,64 @@ def work_list(spark, sf):
     return load.work_list(control).withColumn("ssn_policy", F.col("mask")["tax_id"]).drop("mask")
 
 
+class _Dies(LoadState):
+    """A state whose driver dies behind the given number of checkpoints."""
+
+    def __init__(self, spark, path, left):
+        super().__init__(spark, path)
+        self.left = left
+
+    def advance(self, *args):
+        if not self.left:
+            raise InterruptedError("stopped between write and checkpoint")
+        self.left -= 1
+        super().advance(*args)
+
+
+@query
+def resumed_load(spark, sf):
+    """A load that stops behind its third checkpoint, and its rerun: what each landed step holds."""
+    source, state, raw = _job(spark, sf, "resumed")
+    t = load.TableLoad("events", "ts", batch_size=RESUME_BATCH, commit_batches=RESUME_RUN)
+    try:
+        load.load_table(spark, source, t, _Dies(spark, state.path, 3), raw)
+    except InterruptedError:
+        pass
+    rest = load.load_table(spark, source, t, state, raw)
+    landed = spark.read.parquet(f"{raw}/events").withColumn("step", F.split("_load", "-")[1].cast("bigint"))
+    steps = landed.groupBy("step").agg(F.count(F.lit(1)).alias("n_rows"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
+                                       F.count_distinct("event_id").alias("n_events"))
+    return steps.withColumn("rerun_batches", F.when(F.col("step") >= 3, F.lit(rest.batches).cast("bigint")))
+
+
+@query
+def configured_job(spark, sf):
+    """A job by its control table, with masks, upper-case columns and a log."""
+    source, state, raw = _job(spark, sf, "configured")
+    control = spark.createDataFrame(
+        [("nightly", "customer", "CUSTOMER_RAW", "c_custkey", 100, '{"c_name": "redact", "c_mktsegment": "hash"}', True),
+         ("nightly", "orders", None, "o_orderkey", None, None, True), ("nightly", "part", None, "p_partkey", None, None, False),
+         ("weekly", "supplier", None, "s_suppkey", None, None, True)],
+        "source_group string, source_table string, target_table string, hwm_column string, batch_size bigint, mask string, enabled boolean",
+    )
+    control.coalesce(1).write.parquet(f"{raw}/control")
+    load.run(spark, {"source": source, "landing": f"{raw}/in", "state": state.path, "log": f"{raw}/log", "masking": {"salt": "s"},
+                     "control": {"path": f"{raw}/control", "source_group": "nightly"}}, upper=True)
+    logged = spark.read.parquet(f"{raw}/log").select("target", "rows_read", "rows_written")
+    loads = [("CUSTOMER_RAW", ["C_CUSTKEY", "C_NAME", "C_MKTSEGMENT"]), ("orders", ["O_ORDERKEY", "O_ORDERSTATUS"])]
+    customers, orders = (spark.read.parquet(f"{raw}/in/{t}").select(F.lit(t).alias("target"), *cols) for t, cols in loads)
+    return customers.unionByName(orders, allowMissingColumns=True).join(logged, "target")
+
+
+@query
+def snapshot_swap(spark, sf):
+    """A frame that was read before a table is replaced keeps its rows; the table has the new ones."""
+    path = scratch_path(spark, "swap")
+    first = tables.replace_snapshot(table(spark, sf, "orders").filter("o_orderstatus = 'F'").select("o_orderkey", "o_orderstatus"), path)
+    second = tables.replace_snapshot(table(spark, sf, "orders").filter("o_orderstatus <> 'F'").select("o_orderkey", "o_orderstatus"), path)
+    return first.withColumn("version", F.lit("before")).unionByName(second.withColumn("version", F.lit("current")))
+
+
 @query
 def parallel_loads(spark, sf):
     source, state, raw = _job(spark, sf, "parallel")
