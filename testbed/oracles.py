@@ -181,26 +181,33 @@ def _checks(parts: list[tuple[str, str]]) -> str:
     return f"SELECT *, CASE WHEN violations = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({rows})"
 
 
+def label(table: str, column: str, rule: str) -> str:
+    """How a check is named: what it looks at and the rule it holds it to."""
+    return f"{rule}({table}, {column})"
+
+
 def _fact_checks() -> list[tuple[str, str]]:
-    out = [(f"fact.{c} not null", f"SELECT count(*) FROM fact WHERE {c} IS NULL")
-           for c in ("patient_sk", "facility_sk", "provider_sk", "date_key")]
-    out += [
-        ("fact.patient_sk FK valid", "SELECT count(*) FROM fact f WHERE patient_sk IS NOT NULL AND NOT EXISTS (SELECT 1 FROM d3 d WHERE d.patient_sk = f.patient_sk)"),
-        ("fact.facility_sk FK valid", "SELECT count(*) FROM fact f WHERE NOT EXISTS (SELECT 1 FROM fac d WHERE d.facility_sk = f.facility_sk)"),
-        ("fact.date_key FK valid", "SELECT count(*) FROM fact f WHERE NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.date_key = f.date_key)"),
-        ("dim_patient one current", "SELECT count(*) FROM (SELECT patient_id FROM d3 WHERE is_current GROUP BY 1 HAVING count(*) > 1)"),
-        ("dim_facility location FK", "SELECT count(*) FROM fac f WHERE NOT EXISTS (SELECT 1 FROM loc l WHERE l.location_sk = f.location_sk)"),
-        ("dim_location region set", "SELECT count(*) FROM loc WHERE region IS NULL"),
-        ("fact.payer_sk FK valid", "SELECT count(*) FROM fact f WHERE payer_sk IS NOT NULL AND NOT EXISTS (SELECT 1 FROM pay d WHERE d.payer_sk = f.payer_sk)"),
-        ("fact.paid <= charged", "SELECT count(*) FROM fact WHERE paid_amount > total_charge"),
-        ("raw.ssn masked", f"SELECT count(*) FROM (SELECT {SSN} AS x FROM pat) WHERE x IS NOT NULL AND x NOT LIKE 'XXX-XX-%'"),
-        ("raw.phone masked", f"SELECT count(*) FROM (SELECT {PHONE} AS x FROM pat) WHERE x IS NOT NULL AND x NOT LIKE '(XXX) XXX-%'"),
-        ("staging.ssn masked", f"SELECT count(*) FROM (SELECT {SSN} AS x FROM s3) WHERE x IS NOT NULL AND x NOT LIKE 'XXX-XX-%'"),
-        ("staging.phone masked", f"SELECT count(*) FROM (SELECT {PHONE} AS x FROM s3) WHERE x IS NOT NULL AND x NOT LIKE '(XXX) XXX-%'"),
+    def missing(name, view, c):
+        return (label(name, c, "present"), f"SELECT count(*) FROM {view} WHERE {c} IS NULL")
+
+    def orphans(name, view, c, dim, null_ok):
+        given = f"{c} IS NOT NULL AND " if null_ok else ""
+        return (label(name, c, "known"), f"SELECT count(*) FROM {view} f WHERE {given}NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{c} = f.{c})")
+
+    def unmasked(name, view, c, text, pattern):
+        return (label(name, c, "masked"), f"SELECT count(*) FROM (SELECT {text} AS x FROM {view}) WHERE x IS NOT NULL AND x NOT LIKE '{pattern}'")
+
+    return [
+        *[missing("fact_encounter", "fact", c) for c in FACT_KEYS],
+        *[orphans("fact_encounter", "fact", c, dim, ok) for c, dim, ok in (("patient_sk", "d3", True), ("facility_sk", "fac", False), ("date_key", "dim_date", False), ("payer_sk", "pay", True))],
+        (label("fact_encounter", "paid_amount", "within_charge"), "SELECT count(*) FROM fact WHERE paid_amount > total_charge"),
+        (label("dim_patient", "is_current", "once_per_key"), "SELECT count(*) FROM (SELECT patient_id FROM d3 WHERE is_current GROUP BY 1 HAVING count(*) > 1)"),
+        orphans("dim_facility", "fac", "location_sk", "loc", False), missing("dim_location", "loc", "region"),
+        *[unmasked(name, view, c, text, pattern) for name, view in (("patients_csv", "pat"), ("patients", "s3")) for c, text, pattern in (("ssn", SSN, "XXX-XX-%"), ("phone", PHONE, "(XXX) XXX-%"))],
     ]
-    return out
 
 
+FACT_KEYS = ("date_key", "facility_sk", "patient_sk", "provider_sk")
 SNAP_SK = "md5(patient_id || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S'))"
 HASHED = f"""
 snap AS (SELECT {SNAP_SK} AS patient_sk, patient_id, is_current FROM d3),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.governance import READER_ROLE, mask_tagged, policy_view, tag
 from millrace.functions.keys import hash_key  # noqa: F401
-from millrace.functions.masking import apply_policy, mask_columns, mask_email, mask_phone, mask_ssn, redact, register_functions
+from millrace.functions.masking import PHONE_PREFIX, SSN_PREFIX, apply_policy, mask_columns, mask_email, mask_phone, mask_ssn, redact, register_functions
 from millrace.functions.ordering import hwm_filter
 from millrace.functions.variant import vget
 from millrace.operators import aggregates, layout, merge, positions, quality, scd2, tables
@@ -23,7 +23,7 @@ from millrace.sources import files, landing, registry, synth, workbook
 from millrace.streaming import alerts, ingest, maintain
 
 from .adapter import encounter_documents, patient_id, raw_encounters, raw_patients, table
-from .oracles import BATCHES, RESUME_BATCH, RESUME_RUN
+from .oracles import BATCHES, FACT_KEYS, RESUME_BATCH, RESUME_RUN, label
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -912,23 +912,23 @@ def dq_report(spark, sf):
     raw = materialize(raw_patients(spark, sf), "patients")
     landed = mask_columns(raw, {"ssn": "ssn", "phone": "phone"})
     staged = staging.stage_patients(raw)
-    q = quality
-    keys = ("patient_sk", "facility_sk", "provider_sk", "date_key")
+    q, held = quality, {"fact_encounter": fact, "dim_facility": m["facility"]}
+    dims = {"patient_sk": m["patient"], "facility_sk": m["facility"], "date_key": _calendar(spark, sf), "payer_sk": m["payer"], "location_sk": m["location"]}
+
+    def known(name, c, null_ok):
+        return q.check_fk(label(name, c, "known"), held[name], c, dims[c], c, null_ok)
+
+    def masked(name, rows, suffix):
+        return q.row_checks(rows, {label(name, c, "masked"): q.not_like(c + suffix, f"{prefix}%") for c, prefix in (("ssn", SSN_PREFIX), ("phone", PHONE_PREFIX))})
+
     return q.dq_gate([
-        q.row_checks(fact, {
-            **{f"fact.{c} not null": q.is_missing(c) for c in keys},
-            "fact.paid <= charged": F.col("paid_amount") > F.col("total_charge"),
-        }),
-        q.check_fk("fact.patient_sk FK valid", fact, "patient_sk", m["patient"], "patient_sk"),
-        q.check_fk("fact.facility_sk FK valid", fact, "facility_sk", m["facility"], "facility_sk", null_ok=False),
-        q.check_fk("fact.date_key FK valid", fact, "date_key", _calendar(spark, sf), "date_key", null_ok=False),
-        q.check_fk("fact.payer_sk FK valid", fact, "payer_sk", m["payer"], "payer_sk"),
-        q.check_unique("dim_patient one current", m["patient"], ["patient_id"], F.col("is_current")),
-        q.check_fk("dim_facility location FK", m["facility"], "location_sk", m["location"], "location_sk", null_ok=False),
-        q.row_checks(m["location"], {"dim_location region set": q.is_missing("region")}),
-        q.row_checks(landed, {"raw.ssn masked": q.not_like("ssn", "XXX-XX-%"), "raw.phone masked": q.not_like("phone", "(XXX) XXX-%")}),
-        q.row_checks(staged, {"staging.ssn masked": q.not_like("ssn_masked", "XXX-XX-%"),
-                              "staging.phone masked": q.not_like("phone_masked", "(XXX) XXX-%")}),
+        q.row_checks(fact, {**{label("fact_encounter", c, "present"): q.is_missing(c) for c in FACT_KEYS},
+                            label("fact_encounter", "paid_amount", "within_charge"): F.col("paid_amount") > F.col("total_charge")}),
+        known("fact_encounter", "patient_sk", True), known("fact_encounter", "facility_sk", False),
+        known("fact_encounter", "date_key", False), known("fact_encounter", "payer_sk", True),
+        q.check_unique(label("dim_patient", "is_current", "once_per_key"), m["patient"], ["patient_id"], F.col("is_current")),
+        known("dim_facility", "location_sk", False), q.row_checks(m["location"], {label("dim_location", "region", "present"): q.is_missing("region")}),
+        masked("patients_csv", landed, ""), masked("patients", staged, "_masked"),
     ])
 
 

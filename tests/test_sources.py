@@ -8,7 +8,7 @@ from millrace.operators import tables
 from millrace.plans import load
 from millrace.sources import files, jdbc, landing, registry, workbook
 
-CONTRACT = [(1, "a", 10), (2, "b", 20), (3, "c", 30), (4, "d", 40)]
+CONTRACT = [(11, "plum", 105), (12, "fig", 117), (15, "date", 130), (19, "lime", 142)]
 
 
 def test_unknown_type_and_bad_names(spark):
@@ -19,11 +19,11 @@ def test_unknown_type_and_bad_names(spark):
 
 
 def test_parquet_unsorted(spark, tmp_path, rows):
-    spark.createDataFrame([CONTRACT[i] for i in (2, 0, 3, 1)], "id bigint, name string, ts bigint").write.parquet(str(tmp_path / "t.parquet"))
+    spark.createDataFrame(CONTRACT[::-1], "id bigint, name string, ts bigint").write.parquet(str(tmp_path / "t.parquet"))
     src = {"type": "parquet", "root": str(tmp_path)}
     assert rows(registry.read_source(spark, src, "t", "ts")) == CONTRACT
-    late = registry.read_source(spark, src, "t", "ts", 20)
-    assert rows(late, "id") == [(3,), (4,)] and registry.pending_count(registry.read_source(spark, src, "t", "ts"), "ts", 20) == 2
+    late = registry.read_source(spark, src, "t", "ts", 117)
+    assert rows(late, "id") == [(15,), (19,)] and registry.pending_count(registry.read_source(spark, src, "t", "ts"), "ts", 117) == 2
     with pytest.raises(ValueError):
         registry.read_source(spark, src, "t", "nope", 20)
 
@@ -161,7 +161,7 @@ def test_paged_source(spark, tmp_path, shipped, page, tasks, rows):
     data = [{"id": i, "name": n, "ts": t} for i, n, t in CONTRACT]
     src = {"type": "rest", "base_url": page_folder(tmp_path, data, 3), "page_size": page, "tasks": tasks, "records_key": "data",
            "transport": "testbed.paging:send", "schema": "id bigint, name string, ts bigint", "key": ["id"]}
-    assert rows(registry.read_source(spark, src, "items", "ts"), "id") == [(1,), (2,), (3,), (4,)]
+    assert rows(registry.read_source(spark, src, "items", "ts"), "id") == [(11,), (12,), (15,), (19,)]
 
 
 def test_paged_source_without_total_and_params():
@@ -199,10 +199,10 @@ def test_paged_partitions_cover_everything():
 
 def test_workbook(spark, tmp_path, shipped, rows):
     (tmp_path / "a.xlsx").write_bytes(workbook.workbook_bytes(["id", "name", "ts"], CONTRACT[:2], "items"))
-    (tmp_path / "b.xlsx").write_bytes(workbook.workbook_bytes(["ts", "id"], [(30, 3), (40, 4)], "items"))
+    (tmp_path / "b.xlsx").write_bytes(workbook.workbook_bytes(["ts", "id"], [(130, 15), (142, 19)], "items"))
     src = {"type": "excel", "path": str(tmp_path), "columns": ["id", "name", "ts"]}
-    assert rows(registry.read_source(spark, src, "items", "ts")) == [("1", "a", "10"), ("2", "b", "20"), ("3", None, "30"), ("4", None, "40")]
-    assert rows(registry.read_source(spark, src, "items", "ts", "20"), "id") == [("3",), ("4",)]
+    assert rows(registry.read_source(spark, src, "items", "ts")) == [("11", "plum", "105"), ("12", "fig", "117"), ("15", None, "130"), ("19", None, "142")]
+    assert rows(registry.read_source(spark, src, "items", "ts", "117"), "id") == [("15",), ("19",)]
     with pytest.raises(ValueError):
         registry.read_source(spark, src, "items", "nope", "20")
 
