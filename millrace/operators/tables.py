@@ -61,7 +61,7 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
 _POINTER, _VERSION = "_current", "_v-"
 
 
-def replace_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = (), keep: int = 2) -> DataFrame:
+def replace_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = (), keep: int = 2, number: int | None = None) -> DataFrame:
     """Replace a table as one step and return the new content.
 
     Each content is a folder of its own under `path`; one small file names the current one and is
@@ -72,7 +72,7 @@ def replace_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     spark, root = df.sparkSession, path.rstrip("/")
     found = _versions(spark, root)
     # two writers at once have folders of their own; the later swap wins
-    name = f"{_VERSION}{_number(found[-1]) + 1 if found else 1:012d}-{uuid.uuid4().hex[:8]}"
+    name = f"{_VERSION}{number or next_number(spark, root):012d}-{uuid.uuid4().hex[:8]}"
     df.write.partitionBy(*partition_by).parquet(f"{root}/{name}")
     kept = [name, *_pointed(spark, root)][:keep]
     replace_text(spark, f"{root}/{_POINTER}", "\n".join(kept))
@@ -83,6 +83,18 @@ def replace_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     return read_snapshot(spark, root)
 
 
+def next_number(spark: SparkSession, path: str) -> int:
+    """The number of the content that would be written next."""
+    found = _versions(spark, path.rstrip("/"))
+    return _number(found[-1]) + 1 if found else 1
+
+
+def snapshot_number(spark: SparkSession, path: str) -> int:
+    """The number of the current content; 0 where there is none."""
+    names = _pointed(spark, path.rstrip("/"))
+    return _number(names[0]) if names else 0
+
+
 def _number(name: str) -> int:
     return int(name.split("-")[1])
 

@@ -666,17 +666,18 @@ def _snapshots(spark, sf) -> list[DataFrame]:
 
 
 def _history(spark, sf) -> DataFrame:
-    """Three snapshots applied in turn; each result is written, as a table would be."""
-    dim = marts.empty_dim_patient(spark)
+    """Three snapshots applied in turn to a table of current and closed versions."""
+    kept = scd2.History(spark, scratch_path(spark, "history"), marts.DIM_PATIENT, "patient_id", marts.TRACKED, "patient_sk")
     for snap, t in zip(_snapshots(spark, sf), BATCHES):
-        dim = materialize(scd2.scd2_apply(dim, snap, "patient_id", marts.TRACKED, ntz(t), "patient_sk"), "history")
+        dim = kept.apply(snap, ntz(t))
     return dim
 
 
 def _snapshot_history(spark, sf) -> DataFrame:
-    dim = spark.createDataFrame([], marts.DIM_PATIENT.replace("patient_sk bigint", "scd_id string"))
+    schema = marts.DIM_PATIENT.replace("patient_sk bigint", "scd_id string")
+    kept = scd2.History(spark, scratch_path(spark, "snapshots"), schema, "patient_id", marts.TRACKED, "scd_id")
     for snap, t in zip(_snapshots(spark, sf), BATCHES):
-        dim = materialize(scd2.snapshot_apply(dim, snap, "patient_id", marts.TRACKED, ntz(t)), "snapshots")
+        dim = kept.apply(snap, ntz(t), True, ntz(t), lambda opened: scd2.with_hashed_id(opened, "patient_id"))
     return dim
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import dates
 from millrace.functions.variant import vget
-from millrace.operators import merge, scd2
+from millrace.operators import merge, scd2, tables
 from millrace.operators.dedup import latest_per_key
 from millrace.operators.joins import asof_join, restrict, with_exists_flag
 from millrace.plans import marts, staging
@@ -223,3 +223,36 @@ def test_dimensions_twice_give_the_same(spark, rows):
 def json_doc(e, f, name, city, state):
     return ('{"encounter_id": "%s", "start": "2024-01-05T00:00:00", "provider": {"name": "Dr", "facility_id": "%s", "facility_name": "%s", '
             '"city": "%s", "state": "%s"}, "billing": {"payer": "Payer"}}' % (e, f, name, city, state))
+
+
+def test_history_is_not_read(spark, tmp_path):
+    """A snapshot touches current rows only, a cut-off one leaves the table as it was."""
+    kept = scd2.History(spark, str(tmp_path / "h"), marts.DIM_PATIENT, "patient_id", marts.TRACKED, "patient_sk")
+    kept.apply(person(spark, [("P1", None, "Rome"), ("P2", None, "Bern")]), ts("2024-01-01"))
+    kept.apply(person(spark, [("P1", None, "Oslo"), ("P3", None, "Kyiv")]), ts("2024-02-01"))
+    steps = scd2.scd2_steps(kept.current(), person(spark, [("P1", None, "Lima")]), "patient_id", marts.TRACKED, ts("2024-03-01"))
+    plan = steps._jdf.queryExecution().executedPlan().toString()
+    assert "/closed" not in plan and plan.count("Join FullOuter") + plan.count("FullOuter") >= 1 and plan.count("Scan parquet") == 1
+    # unreadable history does not matter to a snapshot
+    (tmp_path / "h" / "closed").rename(tmp_path / "h" / "away")
+    kept.apply(person(spark, [("P1", None, "Lima")]), ts("2024-03-01"))
+    for part in (tmp_path / "h" / "away").iterdir():
+        if part.name.startswith("_content="):
+            part.rename(tmp_path / "h" / "closed" / part.name)
+    got = sorted((r["patient_id"], r["city"], r["is_current"], r["patient_sk"]) for r in kept.table().collect())
+    assert got == [("P1", "Lima", True, 5), ("P1", "Oslo", False, 3), ("P1", "Rome", False, 1), ("P2", "Bern", True, 2), ("P3", "Kyiv", True, 4)]
+
+
+def test_a_snapshot_that_dies_closes_nothing(spark, tmp_path, monkeypatch):
+    kept = scd2.History(spark, str(tmp_path / "h"), marts.DIM_PATIENT, "patient_id", marts.TRACKED, "patient_sk")
+    kept.apply(person(spark, [("P1", None, "Rome")]), ts("2024-01-01"))
+    for broken in ("replace_snapshot", "replace_text"):
+        with monkeypatch.context() as m:
+            m.setattr(scd2 if broken == "replace_snapshot" else tables, broken, lambda *a, **k: (_ for _ in ()).throw(RuntimeError("driver died")))
+            with pytest.raises(RuntimeError):
+                kept.apply(person(spark, [("P1", None, "Oslo")]), ts("2024-02-01"))
+        assert [(r["city"], r["is_current"]) for r in kept.table().collect()] == [("Rome", True)]
+    again = kept.apply(person(spark, [("P1", None, "Oslo")]), ts("2024-02-02")).collect()
+    assert sorted((r["city"], r["is_current"], str(r["valid_to"] or "")) for r in again) == [("Oslo", True, ""), ("Rome", False, "2024-02-02 00:00:00")]
+    # nothing new: nothing closes
+    assert kept.apply(person(spark, [("P1", None, "Oslo")]), ts("2024-03-01")).count() == 2
