@@ -35,6 +35,8 @@ MOST_LABELS = 200_000
 RIDGE = 1.0
 WIDTH = 2.5
 THRESHOLD = 0.7
+# bytes looked at together; the arrays over them take some twenty times that
+LOT_BYTES = 1 << 20
 
 # byte classes: letters, capitals, digits, white space but line ends, line ends, stops, shouts, bars, other symbols, beyond ASCII
 _CLASSES = 10
@@ -82,7 +84,7 @@ def statistics(texts: pa.StringArray) -> np.ndarray:
 
 
 def _texts(batch: pa.Array) -> np.ndarray:
-    parts = [statistics(s) for s in slices(pc.fill_null(batch, ""))]
+    parts = [statistics(s) for s in slices(pc.fill_null(batch, ""), LOT_BYTES)]
     return np.vstack(parts) if parts else np.zeros((0, STATISTICS))
 
 

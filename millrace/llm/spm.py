@@ -34,6 +34,8 @@ from .words import WordTable, slices
 MARK = "▁"
 # documents decoded at once: a list of ids takes far more room than the array
 LOT = 256
+# bytes split into words at once
+LOT_BYTES = 1 << 20
 # fixed values of the file format
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -228,7 +230,7 @@ def encode_documents(docs: DataFrame, model: bytes, text: str = "text", threads:
         backend = _backend(held.value, threads)
         for batch in batches:
             ids, agree, back = [], [], []
-            for texts in slices(pc.fill_null(batch, "")):
+            for texts in slices(pc.fill_null(batch, ""), LOT_BYTES):
                 found, same = backend.encode(texts)
                 ids += found
                 agree += same
