@@ -217,6 +217,15 @@ def rebucket(spark: SparkSession, path: str, keys: Sequence[str], buckets: int)
     _swap(spark, fresh, path)
 
 
+def _pending(path: str, batch: str) -> str:
+    return f"{path.rstrip('/')}__pending/{batch}"
+
+
+def pending_exists(spark: SparkSession, path: str, batch: str) -> bool:
+    """Whether a batch's merge was cut off after its new content was complete."""
+    return path_exists(spark, _pending(path, batch) + "/_SUCCESS")
+
+
 def merge_buckets(
     spark: SparkSession,
     path: str,
@@ -238,8 +247,8 @@ def merge_buckets(
         _keep_count(spark, path, buckets)
     elif kept != buckets:
         raise ValueError(f"{path} has {kept} buckets, not {buckets}; use rebucket to change that")
-    pending = f"{path.rstrip('/')}__pending/{batch}"
-    if not path_exists(spark, pending + "/_SUCCESS"):
+    pending = _pending(path, batch)
+    if not pending_exists(spark, path, batch):
         delta = delta.withColumn("_bucket", bucket_of(keys, buckets))
         # at most `buckets` numbers
         touched = [r[0] for r in delta.select("_bucket").distinct().collect()]

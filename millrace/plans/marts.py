@@ -46,6 +46,11 @@ def region_of(state: Column | str, regions: Mapping[str, tuple[str, ...]] = REGI
 def build_dim_date(spark: SparkSession, start: str = CALENDAR[0], end: str = CALENDAR[1]) -> DataFrame:
     days = spark.sql("SELECT explode(sequence(CAST(:a AS DATE), CAST(:b AS DATE))) AS full_date",
                      {"a": start, "b": end})
+    return calendar_rows(days)
+
+
+def calendar_rows(days: DataFrame) -> DataFrame:
+    """The calendar's columns of distinct `full_date`."""
     d = F.col("full_date")
     return days.select(
         dates.date_key(d).alias("date_key"),
@@ -58,6 +63,13 @@ def build_dim_date(spark: SparkSession, start: str = CALENDAR[0], end: str = CAL
     )
 
 
+def calendar_years(enc: DataFrame, ts: str = "started_at") -> DataFrame:
+    """Calendar rows of every year that the encounters begin in; a stray date adds its year and no more."""
+    years = enc.filter(F.col(ts).isNotNull()).select(F.year(ts).alias("y")).distinct()
+    days = years.select(F.explode(F.sequence(F.make_date("y", F.lit(1), F.lit(1)), F.make_date("y", F.lit(12), F.lit(31)))).alias("full_date"))
+    return calendar_rows(days)
+
+
 def location_rows(enc: DataFrame) -> DataFrame:
     return distinct_keys(enc, ["city", "state"]).withColumn("region", region_of("state"))
 

@@ -434,6 +434,13 @@ def sql() -> dict[str, str]:
           provider_name, facility_id, {REGION} AS region, payer AS payer_name, duration_minutes, observation_count, total_charge FROM staged"""
     o["stream_dag_observations"] = f"""WITH {ENC}, {latest_enc('e1', f'load_ts < {CUT}')}, {latest_enc('e2', f'load_ts >= {CUT}')},
         staged AS (SELECT * FROM e1 UNION ALL SELECT * FROM e2 WHERE encounter_id NOT IN (SELECT encounter_id FROM e1)) {obs('staged')}"""
+    years = """y AS (SELECT DISTINCT year(started_at) AS y FROM staged WHERE started_at IS NOT NULL),
+        dim_date AS (SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_key, year(d) AS year, month(d) AS month, strftime(d, '%b') AS month_name
+          FROM (SELECT CAST(unnest(generate_series(make_timestamp(y, 1, 1, 0, 0, 0.0), make_timestamp(y, 12, 31, 0, 0, 0.0), INTERVAL 1 DAY)) AS DATE) AS d FROM y))"""
+    o["stream_monthly"] = f"""WITH {ENC}, {latest_enc('e1', f'load_ts < {CUT}')}, {latest_enc('e2', f'load_ts >= {CUT}')},
+        staged AS (SELECT * FROM e1 UNION ALL SELECT * FROM e2 WHERE encounter_id NOT IN (SELECT encounter_id FROM e1)), {years},
+        fact AS (SELECT *, {DATE_KEY} AS date_key FROM staged)
+        SELECT year, month, month_name, {SUMS} FROM fact LEFT JOIN dim_date USING (date_key) GROUP BY 1, 2, 3"""
     o["stream_alert"] = alert
 
     o["dq_report"] = f"{MARTS.rstrip()}, {CALENDAR} {_checks(_fact_checks())}"

@@ -164,3 +164,88 @@ def test_alert_windows(spark, tmp_path):
     (alerts.failure_alert(stream).writeStream.outputMode("complete").foreachBatch(lambda df, i: df.write.mode("overwrite").parquet(out))
      .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination())
     assert {str(r["alerted_at"]): r["failures"] for r in spark.read.parquet(out).collect()} == got
+
+
+def drops(spark, p, e, numbers):
+    for i in numbers:
+        write_batch(patient(spark, f"P{i % 3}", f"C{i}", f"2024-01-{i + 1:02d}"), i, p)
+        write_batch(doc(spark, f"E{i}", f"P{i % 3}", f"{2020 + i}-05-05T00:00:00", f"2024-01-{i + 1:02d}"), i, e)
+
+
+def contents(w, rows):
+    return {n: rows(w.table(n)) for n in maintain.SCHEMAS}
+
+
+def test_compaction_keeps_contents_and_absorbs_replays(spark, tmp_path, rows, monkeypatch):
+    p, e, out, ck = (str(tmp_path / n) for n in ("p", "e", "out", "ck"))
+    for i in range(5):
+        drops(spark, p, e, [i])
+        maintain.maintain(spark, [p], [e], out, ck, buckets=2, clock=lambda n: f"2024-02-{n + 1:02d}").awaitTermination()
+    w = maintain.Warehouse(spark, out, 2)
+    before = contents(w, rows)
+    parts = sorted(x.name for x in (tmp_path / "out/marts/fact_encounter").glob("_batch_id=*"))
+    assert len(parts) == 5
+
+    # cut off after the merged partition is written: it does not count
+    with monkeypatch.context() as m:
+        m.setattr(maintain, "replace_text", lambda *a: (_ for _ in ()).throw(RuntimeError("driver died")))
+        try:
+            w.compact(least=2)
+        except RuntimeError:
+            pass
+    assert contents(w, rows) == before
+    assert w.compact(least=2)["marts/fact_encounter"] == 4
+    assert contents(w, rows) == before
+    assert len(list((tmp_path / "out/marts/fact_encounter").glob("_batch_id=*"))) == 2
+
+    # a batch that was absorbed comes again, as after a lost commit
+    query = parts[0].split("=")[1].rpartition("-")[0]
+    again_p, again_e = patient(spark, "P1", "C1", "2024-01-02"), doc(spark, "E1", "P1", "2021-05-05T00:00:00", "2024-01-02")
+    maintain.ingest_patients(w, again_p, f"{query}-1")
+    maintain.ingest_encounters(w, again_e, f"{query}-1")
+    maintain.build_marts(w, again_p, f"{query}-1", ts("2024-02-02"))
+    assert contents(w, rows) == before
+    # and new ones go on, compacted on the way
+    drops(spark, p, e, [5, 6])
+    maintain.maintain(spark, [p], [e], out, ck, buckets=2, clock=lambda n: "2024-03-01", max_files=1, compact_every=2).awaitTermination()
+    assert w.table("marts/fact_encounter").count() == 7 and w.table("marts/fact_encounter").filter("_built_at is null").count() == 0
+
+
+def test_calendar_grows_by_the_years_that_come(spark, tmp_path):
+    p, e, out = (str(tmp_path / n) for n in ("p", "e", "out"))
+    drops(spark, p, e, [0, 4])
+    write_batch(doc(spark, "E9", "P1", "0001-05-05T00:00:00", "2024-01-02"), 9, e)
+    maintain.maintain(spark, [p], [e], out, str(tmp_path / "ck"), buckets=2, clock=lambda n: "2024-02-01").awaitTermination()
+    days = maintain.Warehouse(spark, out, 2).table("marts/dim_date")
+    assert {r["year"]: r["count"] for r in days.groupBy("year").count().collect()} == {1: 365, 2020: 366, 2024: 366}
+    assert days.select("date_key").distinct().count() == days.count()
+
+
+def test_closed_versions_are_not_rewritten(spark, tmp_path):
+    """A batch reads and writes current versions; files of closed ones stay as they are."""
+    p, e, out = (str(tmp_path / n) for n in ("p", "e", "out"))
+    seen = {}
+    for i in range(4):
+        drops(spark, p, e, [3 * i])
+        maintain.maintain(spark, [p], [e], out, str(tmp_path / "ck"), buckets=2, clock=lambda n: f"2024-02-{n + 1:02d}").awaitTermination()
+        files = {str(f): f.stat().st_mtime_ns for f in (tmp_path / "out/marts/dim_patient_closed").rglob("*.parquet")}
+        assert all(files[f] == t for f, t in seen.items()) and len(files) == len(seen) + (i > 0)
+        seen = files
+    dim = maintain.Warehouse(spark, out, 2).table("marts/dim_patient")
+    assert dim.count() == 4 and dim.filter("is_current").count() == 1
+    assert [str(r["valid_to"])[:10] for r in dim.filter("not is_current").orderBy("valid_to").collect()] == ["2024-02-02", "2024-02-03", "2024-02-04"]
+
+
+def test_loaded_files_are_archived(spark, tmp_path, rows):
+    (tmp_path / "in").mkdir()
+
+    def go():
+        ingest.auto_ingest(spark, str(tmp_path / "in"), "*.csv", lambda s, paths: landing.patients_from_csv(s, paths, ts("2024-01-01")), str(tmp_path / "raw"),
+                           str(tmp_path / "ck"), archive=str(tmp_path / "old")).awaitTermination()
+
+    for i in range(3):
+        (tmp_path / "in" / f"patients_{i}.csv").write_text(f"patient_id,city\nP{i},Rome\n")
+        go()
+    go()
+    assert rows(spark.read.parquet(str(tmp_path / "raw")), "patient_id") == [("P0",), ("P1",), ("P2",)]
+    assert list((tmp_path / "old").rglob("patients_0.csv"))
