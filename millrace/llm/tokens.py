@@ -1,6 +1,6 @@
 """Token ids in binary segments, with Elias-Fano encoded document boundaries.
 
-Documents are sorted by id (one range shuffle of the texts), encoded where they lie and packed into
+Documents are sorted by id, the head of the text and its hash (one range shuffle of the texts), encoded where they lie and packed into
 segments of about `SEGMENT` ids. A segment is one binary value that stands on its own:
 
     header   magic, version, ids per document and in all, ids written by earlier segments of the task,
@@ -16,11 +16,12 @@ select; there is no table of 64-bit offsets. Segments are rows of a Parquet tabl
 its task; those of earlier tasks are one sum per task.
 
 Defined results: null text is empty (only the end id); null doc_ids come first; equal doc_ids are
-ordered by text; an empty table writes no segment and reads as no rows.
+ordered by the first 64 characters of their texts, then by a hash of them; an empty table writes no segment and reads as no rows.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
@@ -38,10 +39,12 @@ from .words import WordTable, slices
 
 SEGMENT = 1 << 20
 SELECT_STEP = 64
+# characters that order the texts of one id
+HEAD = 64
 _MAGIC = b"MRTS"
 _HEADER = struct.Struct("<4sHHQQQQqHHQQQ")
 
-_workers: dict[int, WordTable] = {}
+_workers: dict[int, "Encoder"] = {}
 
 
 # --- Elias-Fano ----------------------------------------------------------------------------------
@@ -149,76 +152,102 @@ class Segment:
 # --- encoding ------------------------------------------------------------------------------------
 
 
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)").fullmatch
+# fixed values: the pattern of the tokenizer that words may be taken apart for, and its normaliser's steps
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_STEPS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+# a word of Latin letters with stops behind it: both parts are cut by the pattern, and composed already
+_PLAIN = "^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<stops>[.,;:!?]*)$"
 # the byte-level alphabet: a printable Latin-1 byte is its own letter, the others are numbered from 256 on
 _HIDDEN = [b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE)]
 _LETTER = {b: 256 + n for n, b in enumerate(_HIDDEN)}
 
 
-class WordEncoder:
-    """Ids of words. A word of Latin letters with stops behind it is taken apart: its lower-case letters
-    and its stops go to the library's model directly, in its byte alphabet, each once, where the tokenizer
-    is of a kind that splits there (`apart`, tried on words made of its own vocabulary)."""
+def takes_apart(source: str) -> bool:
+    """Whether the tokenizer's own settings say that white space ends a token and is dropped, and that
+    letters and stops are encoded apart, in lower case and in the byte alphabet, by its model alone."""
+    kind = json.loads(source)
+    cut = {"type": "Split", "pattern": {"Regex": _PATTERN}, "behavior": "Removed", "invert": True}
+    spell = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+    steps = (kind.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    seen = [{k: v for k, v in step.items() if k != "trim_offsets"} for step in steps]
+    special = all(re.search("[^A-Za-zÀ-ÿ.,;:!?]", t["content"]) for t in kind.get("added_tokens") or [])
+    return seen == [cut, spell] and (kind.get("normalizer") or {}).get("normalizers") == _STEPS and kind["model"]["type"] == "BPE" and special
 
-    def __init__(self, source: str, most: int = 300_000):
+
+class Encoder:
+    """Ids of texts. Where the tokenizer allows it (`takes_apart`), texts are split at white space and
+    plain words into letters and stops, by Arrow; a worker encodes each part once. Other tokenizers get
+    whole texts."""
+
+    def __init__(self, source: str, most: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(source)
         self.model = self.tokenizer.model
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self.most, self.known = most, {"": []}
-        self.apart = True
-        names = [re.sub("[^a-z]", "", t) for t in sorted(self.tokenizer.get_vocab())]
-        accents = [chr(c) for c in range(0xC0, 0x100)]
-        names = [n + accents[i % 64] * (i % 3 == 0) for i, n in enumerate(names)]
-        probe = [f(a + b) + stops for a, b, (f, stops) in zip(
-            names[::37], names[11::37], [(str, ""), (str.title, "."), (str.upper, "?!,"), (str, ";:"), (str, "...")] * len(names), strict=False) if a + b]
-        self.apart = bool(probe) and self.ids(probe) == self._whole(probe)
-        self.known = {"": []}
-
-    def _whole(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)] if words else []
-
-    def _part(self, text: str) -> list[int]:
-        found = self.known.get(text)
-        if found is None:
-            if len(self.known) >= self.most:
-                self.known = {"": []}
-            letters = text if text.isascii() else text.encode().decode("latin-1").translate(_LETTER)
-            found = self.known[text] = [t.id for t in self.model.tokenize(letters)]
-        return found
-
-    def ids(self, words: list[str]) -> list[list[int]]:
-        parts = [_PLAIN(w) for w in words] if self.apart else [None] * len(words)
-        rest = iter(self._whole([w for w, m in zip(words, parts, strict=True) if m is None]))
-        known, part, out = self.known.get, self._part, []
-        for m in parts:
-            if m is None:
+        self.apart = takes_apart(source)
+        self.parts = WordTable(self._parts, self.dtype, most)
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
+    def _parts(self, keys: list[str]) -> tuple[list[list[int]], list[bool]]:
+        """Letters and stops are led by a space, which no word holds, and go to the model; words go to the tokenizer."""
+        rest = iter(self._whole([k for k in keys if k[:1] != " "]))
+        out = []
+        for key in keys:
+            if key[:1] == " ":
+                letters = key[1:] if key.isascii() else key[1:].encode().decode("latin-1").translate(_LETTER)
+                out.append([t.id for t in self.model.tokenize(letters)])
+            else:
                 out.append(next(rest))
-                continue
-            letters, stops = m.groups()
-            letters = letters.lower()
-            ids = known(letters) or part(letters)
-            out.append(ids + part(stops) if stops else ids)
-            known = self.known.get
-        return out
-
-
-def _encoder(source: str) -> WordTable:
-    """One word table per worker and tokenizer."""
+        return out, [False] * len(out)
+
+    def words(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of both parts of each word, -1 where there is none."""
+        found = pc.extract_regex(words, _PLAIN)
+        plain = found.is_valid().to_numpy(zero_copy_only=False)
+        own, other = np.full(len(words), -1, dtype=np.int64), np.full(len(words), -1, dtype=np.int64)
+        found = found.filter(pa.array(plain))
+        letters = pc.binary_join_element_wise(" ", pc.utf8_lower(found.field("letters")), "")
+        stops = pc.binary_join_element_wise(" ", found.field("stops"), "")
+        stopped = pc.not_equal(stops, " ").to_numpy(zero_copy_only=False)
+        at = np.flatnonzero(plain)
+        keys = pa.concat_arrays([letters, stops.filter(pa.array(stopped)), words.filter(pa.array(~plain))]).dictionary_encode()
+        code = self.parts.places(keys.dictionary.to_pylist())[keys.indices.to_numpy(zero_copy_only=False)]
+        own[at] = code[:len(at)]
+        other[at[stopped]] = code[len(at):len(at) + int(stopped.sum())]
+        own[~plain] = code[len(at) + int(stopped.sum()):]
+        return own, other
+
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in order, and where each text's ids end; no nulls."""
+        if not self.apart:
+            found = self._whole(texts.to_pylist())
+            return np.array([i for ids in found for i in ids], dtype=self.dtype), np.cumsum([len(f) for f in found], dtype=np.int64)
+        split = pc.ascii_split_whitespace(texts)
+        numbered = split.flatten().dictionary_encode()
+        own, other = self.words(numbered.dictionary)
+        codes = numbered.indices.to_numpy(zero_copy_only=False)
+        pieces = np.stack([own, other], axis=1)[codes].ravel()
+        ids, ends = self.parts.take(pieces)
+        last = 2 * np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))
+        return ids, np.concatenate([[0], ends])[last]
+
+
+def _encoder(source: str) -> Encoder:
+    """One per worker and tokenizer."""
     key = hash(source)
     if key not in _workers:
-        words = WordEncoder(source)
         _workers.clear()
-        _workers[key] = WordTable(lambda new: (words.ids(new), [False] * len(new)), words.dtype)
+        _workers[key] = Encoder(source)
     return _workers[key]
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, segment: int = SEGMENT) -> None:
     """Encode (`doc_id`, `text`) in ascending id order into segments at `path`.
 
-    `tokenizer` is the library's JSON (a few MB, carried in the task); it must be one that drops or
-    separates at ASCII white space, as splitting there must not change its ids.
+    `tokenizer` is the library's JSON (a few MB, carried in the task).
     """
     spark = docs.sparkSession
     ship_package(spark, "millrace")
@@ -249,7 +278,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, segment: int
         for batch in batches:
             doc_ids, at = batch.column(0).to_pylist(), 0
             for texts in slices(pc.fill_null(batch.column(1), ""), segment * 8):
-                ids, upto, _ = table.gather(pc.ascii_split_whitespace(texts))
+                ids, upto = table.encode(texts)
                 n = len(texts)
                 # the end id goes behind each document's ids
                 ids = np.insert(ids, upto, end_id)
@@ -263,7 +292,10 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, segment: int
         if names:
             yield flush()
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    order = ["doc_id", "_head", "_hash", "_row"]
+    named = docs.select("doc_id", "text", F.substring("text", 1, HEAD).alias("_head"), F.xxhash64("text").alias("_hash"), F.monotonically_increasing_id().alias("_row"))
+    # an id, or a row, that fills a third of the table is dealt to many tasks
+    ordered = named.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     ordered.mapInArrow(run, "task int, segment int, n_docs long, n_ids long, payload binary").write.mode("overwrite").parquet(path)
 
 

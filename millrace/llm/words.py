@@ -47,22 +47,29 @@ class WordTable:
         self.used += total
         self.place.update(zip(words, range(n, n + len(words)), strict=True))
 
-    def gather(self, split: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All ids of the texts, where each text's ids end, and whether it has a marked word. `split` has no nulls."""
-        numbered = split.flatten().dictionary_encode()
-        words = numbered.dictionary.to_pylist()
+    def places(self, words: list[str]) -> np.ndarray:
+        """Where the distinct `words` are kept, those not met before included."""
         if len(self.place) + len(words) > self.most:
             self._clear()
         new = [w for w in words if w not in self.place]
         # the library's encodings of a word take far more room than its ids
         for at in range(0, len(new), AT_ONCE):
             self._add(new[at:at + AT_ONCE])
-        code = np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))[numbered.indices.to_numpy(zero_copy_only=False)]
+        return np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def take(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of places in a row, and where each place's ids end; a negative place has none."""
         starts = np.where(code > 0, self.ends[code - 1], 0)
-        lengths = self.ends[code] - starts
+        lengths = np.where(code < 0, 0, self.ends[code] - starts)
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
+        return self.flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)], ends
+
+    def gather(self, split: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of the texts, where each text's ids end, and whether it has a marked word. `split` has no nulls."""
+        numbered = split.flatten().dictionary_encode()
+        code = self.places(numbered.dictionary.to_pylist())[numbered.indices.to_numpy(zero_copy_only=False)]
+        ids, ends = self.take(code)
         counts = pc.list_value_length(split).to_numpy(zero_copy_only=False)
         last = np.cumsum(counts)
         upto, marked = np.concatenate([[0], ends]), np.concatenate([[0], np.cumsum(self.marks[code])])

@@ -1,7 +1,9 @@
+import json
 import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from millrace.llm import tokens
@@ -58,13 +60,56 @@ def test_large_ids_take_four_bytes():
         tokens.Segment(b"x" * 100)
 
 
+def random_words(seed, n=5000):
+    draw = random.Random(seed)
+    return ["".join(draw.choice("aeinstrTHE.,!?'éÀßÿ×1\u0301") for _ in range(draw.randrange(1, 12))) for _ in range(n)]
+
+
 def test_words_taken_apart_give_the_librarys_ids():
-    encoder = tokens.WordEncoder(SOURCE, most=50)
+    encoder = tokens.Encoder(SOURCE, most=50)
     assert encoder.apart
-    draw = random.Random(8)
-    words = ["".join(draw.choice("aeinstrTHE.,!?'éÀßÿ×1") for _ in range(draw.randrange(1, 12))) for _ in range(5000)]
-    assert encoder.ids(words) == [e.ids for e in encoder.tokenizer.encode_batch(words, add_special_tokens=False)]
+    words = random_words(8)
+    for lot in range(0, 5000, 40):
+        ids, ends = encoder.encode(pa.array(words[lot:lot + 40]))
+        got = np.split(ids, ends[:-1])
+        assert [g.tolist() for g in got] == [e.ids for e in encoder.tokenizer.encode_batch(words[lot:lot + 40], add_special_tokens=False)]
+    ids, ends = encoder.encode(pa.array(["", " ", "a b", ""]))
+    assert ends.tolist() == [0, 0, 2, 2]
+
+
+def test_other_tokenizers_get_whole_texts(spark, tmp_path):
+    """One that keeps white space, and one that differs in a setting."""
     other = open(tokenizer_file("byte_bpe_50k.json"), encoding="utf-8").read()
-    plain = tokens.WordEncoder(other)
-    assert not plain.apart
-    assert plain.ids(words) == [e.ids for e in plain.tokenizer.encode_batch(words, add_special_tokens=False)]
+    assert not tokens.takes_apart(other) and tokens.takes_apart(SOURCE)
+    for change in ('"invert":false', '"use_regex":true'):
+        name = change.split(":")[0]
+        altered = json.loads(SOURCE)
+        for step in altered["pre_tokenizer"]["pretokenizers"]:
+            if name.strip('"') in step:
+                step[name.strip('"')] = json.loads(change.split(":")[1])
+        assert not tokens.takes_apart(json.dumps(altered))
+    texts = ["two  spaces\n\n and  lines ", "", None, "x" * 3000, *[" ".join(random_words(3, 30)) for _ in range(20)]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_str(other)
+    got = {r["doc_id"]: r for r in tokens.write_and_read(docs, other, 2).collect()}
+    for i, text in enumerate(texts):
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 2]
+        assert (got[i]["n_tokens"], got[i]["ids_crc32"]) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
+def test_one_id_in_a_third_of_the_rows_is_dealt_to_several_tasks(spark, tmp_path):
+    """Half of them even the same row; offsets still tile the whole."""
+    rows = [(7, f"text number {i}") for i in range(1000)] + [(7, "the same row")] * 1000 + [(i + 100, f"other {i}") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    path = str(tmp_path / "segments")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tokens.write(docs, path, SOURCE, 2, segment=200)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    per_task = [r["sum(n_docs)"] for r in spark.read.parquet(path).groupBy("task").sum("n_docs").collect()]
+    assert len(per_task) == 4 and max(per_task) < 2100
+    got = sorted(tokens.read(spark, path).collect(), key=lambda r: r["start"])
+    assert len(got) == 6000 and all(a["start"] + a["n_tokens"] == b["start"] and a["doc_id"] <= b["doc_id"] for a, b in zip(got, got[1:], strict=False))
