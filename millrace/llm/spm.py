@@ -34,8 +34,8 @@ from .words import WordTable, slices
 MARK = "▁"
 # documents decoded at once: a list of ids takes far more room than the array
 LOT = 256
-# bytes split into words at once
-LOT_BYTES = 1 << 20
+# words a worker keeps, and bytes of text split into words at once: as fast as twice of both
+KNOWN, LOT_BYTES = 400_000, 2 << 20
 # fixed values of the file format
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -175,7 +175,7 @@ class Backend:
         self.model = parse(data)
         self.tokenizer = build(self.model)
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
-        self.words = WordTable(self._verified, np.int32)
+        self.words = WordTable(self._verified, np.int32, KNOWN)
 
     def _verified(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
         """The backend's own ids, and where they differ from sentencepiece's, which then stand."""

@@ -35,7 +35,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, ship_package
-from .words import WordTable, slices
+from .words import MOST_WORDS, WordTable, slices
 
 SEGMENT = 1 << 20
 SELECT_STEP = 64
@@ -179,7 +179,7 @@ class Encoder:
     plain words into letters and stops, by Arrow; a worker encodes each part once. Other tokenizers get
     whole texts."""
 
-    def __init__(self, source: str, most: int = 600_000):
+    def __init__(self, source: str, most: int = MOST_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(source)

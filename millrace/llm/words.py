@@ -2,8 +2,8 @@
 
 Where a tokenizer never merges across white space, a text's ids are its words' ids in order. A batch
 is split and its words are numbered by Arrow; only words that the worker has not met go through the
-tokenizer, in one batch call; ids are then gathered by numpy. The table of known words is cleared
-when it reaches its bound, so memory stays flat. It changes time only, never results.
+tokenizer, in one batch call; ids are then gathered by numpy. When the table of known words reaches its
+bound, those met in a single batch go, so memory stays flat. It changes time only, never results.
 """
 
 from __future__ import annotations
@@ -28,19 +28,37 @@ class WordTable:
 
     def _clear(self) -> None:
         self.place: dict[str, int] = {}
+        self.met = np.zeros(1 << 14, dtype=np.int32)
         self.flat = np.zeros(1 << 16, dtype=self.dtype)
         self.ends = np.zeros(1 << 14, dtype=np.int64)
         self.marks = np.zeros(1 << 14, dtype=bool)
         self.used = 0
 
+    def _thin(self) -> None:
+        """Keep the words met in more than one batch, if that frees half of the room."""
+        n = len(self.place)
+        kept = np.flatnonzero(self.met[:n] > 1)
+        if len(kept) > self.most // 2:
+            return self._clear()
+        names = list(self.place)
+        ids, ends = self.take(kept)
+        marks, met = self.marks[kept], self.met[kept]
+        self._clear()
+        self.place = {names[k]: i for i, k in enumerate(kept.tolist())}
+        self.flat, self.used = np.array(ids, dtype=self.dtype), len(ids)
+        self._room(len(kept))
+        self.ends[:len(kept)], self.marks[:len(kept)], self.met[:len(kept)] = ends, marks, met
+
+    def _room(self, n: int) -> None:
+        while n > len(self.ends):
+            self.ends, self.marks, self.met = (np.concatenate([x, np.zeros_like(x)]) for x in (self.ends, self.marks, self.met))
+
     def _add(self, words: list[str]) -> None:
         ids, marks = self.encode(words)
         n, total = len(self.place), sum(map(len, ids))
-        while n + len(words) > len(self.ends):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-            self.marks = np.concatenate([self.marks, np.zeros_like(self.marks)])
+        self._room(n + len(words))
         while self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), 1 << 16), dtype=self.dtype)])
         self.flat[self.used:self.used + total] = np.fromiter((x for w in ids for x in w), dtype=self.dtype, count=total)
         self.ends[n:n + len(words)] = self.used + np.cumsum([len(w) for w in ids])
         self.marks[n:n + len(words)] = marks
@@ -50,12 +68,14 @@ class WordTable:
     def places(self, words: list[str]) -> np.ndarray:
         """Where the distinct `words` are kept, those not met before included."""
         if len(self.place) + len(words) > self.most:
-            self._clear()
+            self._thin()
         new = [w for w in words if w not in self.place]
         # the library's encodings of a word take far more room than its ids
         for at in range(0, len(new), AT_ONCE):
             self._add(new[at:at + AT_ONCE])
-        return np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))
+        found = np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))
+        self.met[found] += 1
+        return found
 
     def take(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of places in a row, and where each place's ids end; a negative place has none."""

@@ -113,3 +113,23 @@ def test_one_id_in_a_third_of_the_rows_is_dealt_to_several_tasks(spark, tmp_path
     assert len(per_task) == 4 and max(per_task) < 2100
     got = sorted(tokens.read(spark, path).collect(), key=lambda r: r["start"])
     assert len(got) == 6000 and all(a["start"] + a["n_tokens"] == b["start"] and a["doc_id"] <= b["doc_id"] for a, b in zip(got, got[1:], strict=False))
+
+
+def test_word_table_keeps_what_comes_again():
+    """Thinned or cleared, it gives the same ids, within its bound."""
+    from millrace.llm.words import WordTable
+
+    calls = []
+
+    def encode(words):
+        calls.extend(words)
+        return [[len(w), *map(ord, w)] for w in words], [w.startswith("m") for w in words]
+
+    table, draw = WordTable(encode, np.int32, most=60), random.Random(1)
+    for turn in range(200):
+        words = ["often", "many", "", *{f"{draw.choice('mn')}{draw.randrange(4000)}" for _ in range(20)}]
+        ids, ends, marked = table.gather(pa.array([words, [], words[:2]]))
+        want = [i for w in words for i in (len(w), *map(ord, w))]
+        assert ids.tolist() == want + [5, *map(ord, "often"), 4, *map(ord, "many")] and ends.tolist() == [len(want), len(want), len(ids)]
+        assert marked.tolist() == [True, False, True] and len(table.place) <= 60 + 23
+    assert calls.count("often") < 5
