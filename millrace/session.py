@@ -28,7 +28,10 @@ _SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Turn on the adaptive settings the operators count on; sizes stay the user's."""
+    """Turn on the adaptive settings the operators count on; sizes stay the user's. The number that file
+    splits are cut for is held, as it would else follow executors that come and go between two passes."""
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
     for key, value in _SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.ordering import hwm_filter
-from ..session import hadoop_path, materialize, small_or_not
+from ..session import hadoop_path, small_or_not
 
 # Texts that stand for NULL in a CSV file.
 NULL_TEXTS = ("", "NULL")
@@ -190,21 +190,25 @@ def with_file_row(lines: DataFrame) -> DataFrame:
     """Adds the 1-based `_file_row` to the output of `read_lines`.
 
     A file may be split over many tasks, so the row number is the position inside its block plus the
-    rows of the blocks before it. The lines are written once so that both passes see the same
-    blocks; the counts are one row per block, and no file gathers in one task.
+    rows of the blocks before it. One pass counts the lines of each block and keeps no text; the second
+    numbers them as it reads them. Both must see the same splits: `configure` fixes what they depend on
+    for the session, and every row checks that it lies in its block where the first pass put it, so that
+    files or settings that changed in between fail the query instead of numbering it wrongly.
     """
-    placed = materialize(lines.withColumn("_pos", F.monotonically_increasing_id()), "lines")
+    placed = lines.withColumn("_pos", F.monotonically_increasing_id())
     blocks = placed.groupBy("_source_file", "_block").agg(
         F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_rows")
     )
     before = W.partitionBy("_source_file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     offsets = blocks.select(
-        "_source_file", "_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
+        "_source_file", "_block", "_first", "_rows", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
     )
+    inside = F.col("_pos") - F.col("_first")
+    moved = F.raise_error(F.lit("files or their splits changed while lines were numbered")).cast("bigint")
+    row = F.when((inside >= 0) & (inside < F.col("_rows")), F.col("_before") + inside + 1).otherwise(moved)
     return (
-        placed.join(small_or_not(offsets, "blocks"), ["_source_file", "_block"])
-        .withColumn("_file_row", F.col("_before") + F.col("_pos") - F.col("_first") + 1)
-        .select("value", "_source_file", "_file_row")
+        placed.join(small_or_not(offsets, "blocks"), ["_source_file", "_block"], "left")
+        .select("value", "_source_file", row.alias("_file_row"))
     )
 
 

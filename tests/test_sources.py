@@ -254,3 +254,23 @@ def test_config_rules():
                 {**good, "tables": None, "control": {"path": "p"}}):
         with pytest.raises(ValueError):
             load.validate(bad)
+
+
+def test_numbering_lines_writes_no_text(spark, tmp_path):
+    """Only counts per block are kept, and changed files are noticed."""
+    for i in range(3):
+        (tmp_path / f"f{i}.json").write_text("".join(f"line {j} of file {i} {'x' * 60}\n" for j in range(400 * (i + 1))))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        numbered = files.with_file_row(files.read_lines(spark, str(tmp_path), "*.json"))
+        got = numbered.selectExpr("cast(split(value, ' ')[1] as int) + 1 = _file_row as ok", "_source_file").groupBy("ok").count().collect()
+        assert [(r["ok"], r["count"]) for r in got] == [(True, 2400)]
+        plan = numbered._jdf.queryExecution().executedPlan().toString()
+        scans = [p for p in plan.split("FileScan ")[1:]]
+        assert len([p for p in scans if p.startswith("text")]) == 1 and not any("value" in p.split("ReadSchema")[-1] for p in scans if p.startswith("parquet"))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+        with pytest.raises(Exception, match="splits changed"):
+            numbered.selectExpr("sum(_file_row)").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
