@@ -209,11 +209,12 @@ def backfill(
 
     configure(spark)
     t: dict[str, DataFrame] = {}
+    encounters, observations = staging.stage_documents(raw_encounters)
     t["patients"], t["encounters"], t["observations"], t["dim_date"] = in_parallel(
         spark,
         lambda: put(staging.stage_patients(raw_patients), "staging/patients"),
-        lambda: put(staging.stage_encounters(raw_encounters), "staging/encounters"),
-        lambda: put(staging.stage_observations(raw_encounters), "staging/observations"),
+        lambda: put(encounters, "staging/encounters"),
+        lambda: put(observations, "staging/observations"),
         lambda: put(build_dim_date(spark, *calendar), "marts/dim_date"),
     )
     enc = t["encounters"]

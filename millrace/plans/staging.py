@@ -9,6 +9,7 @@ from ..functions.dates import minutes_between
 from ..functions.masking import mask_phone, mask_ssn
 from ..functions.variant import explode_array, json_array_size, vget
 from ..operators.dedup import latest_per_key
+from ..session import materialize, small_or_not
 
 PATIENT_COLUMNS = ("patient_id", "first_name", "last_name", "birth_date", "gender", "city", "state")
 MONEY = "decimal(12,2)"
@@ -109,13 +110,19 @@ stg_observations = observations_flat
 def stage_observations(raw: DataFrame) -> DataFrame:
     """Observations of the latest load of each encounter; only that sub-document is shuffled."""
     ties = [c for c in FILE_ORDER if c in raw.columns]
-    docs = raw.select(
+    docs = _observation_arrays(raw, "_load_ts", *ties)
+    return _observation_rows(latest_per_key(docs, ["encounter_id"], "_load_ts", ties, null_is_key=False))
+
+
+def _observation_arrays(raw: DataFrame, *carried: str) -> DataFrame:
+    return raw.select(
         vget("v", "encounter_id").alias("encounter_id"),
-        F.try_variant_get("v", "$.observations", "array<variant>").alias("_os"),
-        "_load_ts", *ties,
+        F.try_variant_get("v", "$.observations", "array<variant>").alias("_os"), *carried,
     )
-    latest = latest_per_key(docs, ["encounter_id"], "_load_ts", ties, null_is_key=False)
-    return latest.select("encounter_id", F.explode("_os").alias("_o")).select(
+
+
+def _observation_rows(docs: DataFrame) -> DataFrame:
+    return docs.select("encounter_id", F.explode("_os").alias("_o")).select(
         "encounter_id",
         vget("_o", "code").alias("obs_code"),
         vget("_o", "description").alias("obs_description"),
@@ -124,6 +131,30 @@ def stage_observations(raw: DataFrame) -> DataFrame:
     )
 
 
+def stage_documents(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(`stage_encounters`, `stage_observations`) from one ranking of the documents.
+
+    What is ranked is narrow: id, load time, file and row of encounters that were loaded more than once.
+    The documents that a later load replaces are then left out where they are read, so that neither
+    encounters nor observations are shuffled while those are few. Documents that cannot be told apart
+    (no file and row, or one of them repeated) are ranked whole.
+    """
+    place = ["_load_ts", *FILE_ORDER]
+    if any(c not in raw.columns for c in place):
+        return stage_encounters(raw), stage_observations(raw)
+    named = raw.select(vget("v", "encounter_id").alias("_id"), F.struct(*place).alias("_at"))
+    # as `latest_per_key` ranks: greatest first, NULL last; one row per key and task is shuffled
+    held = named.filter(F.col("_id").isNotNull()).groupBy("_id").agg(F.max("_at").alias("_last"), F.count(F.lit(1)).alias("_n"))
+    again = named.join(held.filter("_n > 1").select("_id", "_last"), "_id")
+    ranked = materialize(again.groupBy("_id", "_at", (F.col("_at") == F.col("_last")).alias("_wins")).agg(F.count(F.lit(1)).alias("_n")), "loaded_again")
+    if not ranked.filter("_wins and _n > 1").isEmpty():
+        return stage_encounters(raw), stage_observations(raw)
+    lost = small_or_not(ranked.filter("not _wins").select(F.col("_id").alias("_lost_id"), F.col("_at").alias("_lost_at")), "replaced")
+    same = (vget("v", "encounter_id") == F.col("_lost_id")) & F.struct(*place).eqNullSafe(F.col("_lost_at"))
+    kept = raw.join(lost, same, "left_anti")
+    return encounters_flat(kept), _observation_rows(_observation_arrays(kept))
+
+
 def conditions_flat(raw: DataFrame) -> DataFrame:
     """One row per condition; documents with an empty array give none."""
     return explode_array(raw.select("v"), "v", "conditions", "_c").select(

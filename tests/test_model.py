@@ -256,3 +256,30 @@ def test_a_snapshot_that_dies_closes_nothing(spark, tmp_path, monkeypatch):
     assert sorted((r["city"], r["is_current"], str(r["valid_to"] or "")) for r in again) == [("Oslo", True, ""), ("Rome", False, "2024-02-02 00:00:00")]
     # nothing new: nothing closes
     assert kept.apply(person(spark, [("P1", None, "Oslo")]), ts("2024-03-01")).count() == 2
+
+
+def test_documents_are_ranked_once(spark, rows):
+    """Both tables from one narrow ranking equal those that rank whole documents."""
+    draw = random.Random(5)
+
+    def documents(n, unique):
+        out = []
+        for i in range(n):
+            e = draw.choice([f"E{draw.randrange(40)}", f"E{draw.randrange(40)}", None])
+            text = '{"patient_id": "P%d", "start": "2024-01-0%dT00:00:00", "observations": [%s]%s}' % (
+                i, 1 + i % 9, ", ".join('{"code": "c%d", "value": %d}' % (i, k) for k in range(draw.randrange(3))), '' if e is None else ', "encounter_id": "%s"' % e)
+            load = draw.choice([None, "2024-02-01", "2024-02-02"])
+            out.append((text, draw.choice(["a", "b", None]), i if unique else draw.randrange(4), load))
+        return spark.createDataFrame(out, "t string, _source_file string, _file_row long, load string").select(
+            F.parse_json("t").alias("v"), "_source_file", "_file_row", F.col("load").cast("timestamp_ntz").alias("_load_ts"))
+
+    raw = documents(300, True)
+    enc, obs = staging.stage_documents(raw)
+    assert rows(enc) == rows(staging.stage_encounters(raw)) and rows(obs) == rows(staging.stage_observations(raw))
+    for frame in (enc, obs):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "SortMergeJoin" not in plan
+    # repeated places, and none at all
+    for other in (documents(300, False).cache(), raw.drop("_file_row"), raw.limit(0)):
+        enc, obs = staging.stage_documents(other)
+        assert enc.count() == staging.stage_encounters(other).count() and obs.columns == staging.stage_observations(other).columns
