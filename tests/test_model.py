@@ -283,3 +283,23 @@ def test_documents_are_ranked_once(spark, rows):
     for other in (documents(300, False).cache(), raw.drop("_file_row"), raw.limit(0)):
         enc, obs = staging.stage_documents(other)
         assert enc.count() == staging.stage_encounters(other).count() and obs.columns == staging.stage_observations(other).columns
+
+
+@pytest.mark.parametrize("batch", [1, 3])
+def test_asof_over_small_batches(spark, rows, batch):
+    """Versions are carried from batch to batch and from range to range, for hot, missing and NULL keys alike."""
+    draw = random.Random(batch)
+    versions = []
+    for key in ("a", "b", "hot"):
+        cuts = sorted(draw.sample(range(1000), 40 if key == "hot" else 3))
+        versions += [(key, lo, hi, f"{key}{lo}") for lo, hi in zip(cuts, [*cuts[1:-1], None, None]) if hi is not None or lo == cuts[-2]]
+    dim = spark.createDataFrame(versions, "k string, valid_from int, valid_to int, sk string")
+    facts = spark.createDataFrame([(i, draw.choice(["a", "hot", "hot", "none", None]), draw.choice([None, *range(0, 1001, 7)])) for i in range(400)], "id int, k string, t int")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = [rows(asof_join(facts, dim, "k", "t", payload=["sk"], many_versions=many)) for many in (True, False)]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got[0] == got[1] and len(got[0]) == 400 and sum(r[3] is not None for r in got[0]) > 150
