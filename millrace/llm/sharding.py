@@ -7,7 +7,8 @@ bit can part (one key repeated) are paged by running sums, which are distributed
 key may hold any share of the rows. Built-in functions only.
 
 Defined results: null size counts 0, null key hashes as the empty text; a row over the limit is a
-shard of its own (page above 0); an empty table has no shards. Every shard but such a row keeps the limit.
+shard of its own (page below 0, numbered); an empty table has no shards;
+columns named like the added ones are replaced. Every shard but such a row keeps the limit.
 """
 
 from __future__ import annotations
@@ -50,8 +51,9 @@ def assign(df: DataFrame, key: str, size: Column, limit: int) -> DataFrame:
     hashed = df.select(
         F.struct("*").alias("_row"), hash_bits(F.col(key)).alias("_h"), F.coalesce(size, F.lit(0)).cast("bigint").alias("_b")
     )
-    sized = hashed.select("_h", "_b").filter(F.col("_b") <= limit)
-    total = sized.agg(F.sum("_b")).first()[0] or 0
+    fits = F.col("_b") <= limit
+    total, n_alone = hashed.agg(F.sum(F.when(fits, F.col("_b"))), F.count_if(~fits)).first()
+    total = total or 0
     depth = min(BITS, max(0, math.ceil(math.log2(max(1, total / limit)))) + MARGIN)
 
     base, out = 0, []
@@ -76,7 +78,11 @@ def assign(df: DataFrame, key: str, size: Column, limit: int) -> DataFrame:
         part.select("_row", _bits(_shift("_h", F.lit(BITS) - F.col("_d")), F.col("_d")).alias("shard"), F.col("_d").alias("depth"), F.col("_page").alias("page"), F.col("_b").alias("row_bytes"), F.col("_t").alias("shard_bytes"))
         for part in out
     ]
-    named.append(alone.select("_row", _bits(F.col("_h"), F.lit(BITS)).alias("shard"), F.lit(BITS).alias("depth"), F.lit(-1).cast("bigint").alias("page"), F.col("_b").alias("row_bytes"), F.col("_b").alias("shard_bytes")))
+    if n_alone:
+        # numbered over all of them, so that two of one key are two shards
+        tied = alone.withColumn("_tie", F.xxhash64(F.to_json("_row")))
+        apart = running_total(tied, ["_h", "_tie"], {"_nth": F.lit(1)})
+        named.append(apart.select("_row", _bits(F.col("_h"), F.lit(BITS)).alias("shard"), F.lit(BITS).alias("depth"), (-F.col("_nth")).cast("bigint").alias("page"), F.col("_b").alias("row_bytes"), F.col("_b").alias("shard_bytes")))
     if rows is not None:
         named.append(_pages(rows, limit))
     whole = named[0]

@@ -59,3 +59,11 @@ def test_written_shards(spark, tmp_path):
     assert back.count() == 100
     folders = [p for p in (tmp_path / "out").glob("shard=*/page=*")]
     assert folders and all(len(list(f.glob("*.parquet"))) == 1 for f in folders)
+
+
+def test_rows_over_the_limit_are_shards_of_their_own(spark):
+    """Several of one key, equal ones too."""
+    found = shards(spark, [("k", 300, 1), ("k", 400, 2), ("k", 400, 2), ("k", 5, 3), ("l", 101, 4)], 100).collect()
+    apart = [r for r in found if r["row_bytes"] > 100]
+    assert len({(r["shard"], r["page"]) for r in apart}) == 4 and all(r["page"] < 0 and r["shard_bytes"] == r["row_bytes"] for r in apart)
+    assert [(r["page"], r["shard_bytes"]) for r in found if r["row_bytes"] == 5] == [(0, 5)]
