@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Sequence
 from typing import Any
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.ordering import hwm_filter
-from ..session import hadoop_path, small_or_not
+from ..session import hadoop_path, ship_package, small_or_not
 
 # Texts that stand for NULL in a CSV file.
 NULL_TEXTS = ("", "NULL")
@@ -60,42 +61,60 @@ def list_files(spark: SparkSession, root: str, pattern: str | None = None) -> li
     return sorted(f for f in found if pattern is None or re.fullmatch(pattern, f))
 
 
-def _header(spark: SparkSession, path: str) -> str:
-    jvm = spark.sparkContext._jvm
-    fs, p = hadoop_path(spark, path)
-    factory = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
-        spark.sparkContext._jsc.hadoopConfiguration()
-    )
-    codec = factory.getCodec(p)
-    stream = fs.open(p)
+# larger than any file: with it a file is one split, and a task reads one file
+_WHOLE_FILE = str(1 << 50)
+
+
+def _first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line that a task reads; what follows is not waited for."""
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
+def headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """Files by their header line, read in tasks: each opens one file and stops after its first lines, and
+    files are gathered by header there, so that the driver meets each header once. Empty files have none."""
+    if not paths:
+        return {}
+    names = {}
+    for path in paths:
+        fs, p = hadoop_path(spark, path)
+        names[fs.makeQualified(p).toString()] = path
+    settings = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in settings}
     try:
-        raw = codec.createInputStream(stream) if codec is not None else stream
-        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(raw, "UTF-8")).readLine()
-        return (line or "").lstrip("\ufeff")
+        for k in settings:
+            spark.conf.set(k, _WHOLE_FILE)
+        lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), "value")
+        ship_package(spark, "millrace")
+        found = lines.mapInArrow(_first_line, "path string, value string")
+        rows = found.groupBy(F.ltrim(F.col("value"), F.lit("\ufeff")).alias("header")).agg(F.array_sort(F.collect_list("path")).alias("paths")).collect()
     finally:
-        stream.close()
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+    def given(path: str) -> str:
+        # the scan names files as URLs
+        plain = unquote(path)
+        return names["file:/" + plain[5:].lstrip("/") if plain.startswith("file:/") else plain]
+
+    return {r["header"]: [given(p) for p in r["paths"]] for r in rows if r["header"]}
 
 
 def read_csv_by_name(spark: SparkSession, paths: Sequence[str], columns: Sequence[str],
                      one_header: bool = False, multi_line: bool = False) -> DataFrame:
     """CSV files as text columns matched by header name, any order, any case.
 
-    Spark maps a multi-file CSV read by position, so files are grouped by their header line (one
-    line read per file, in parallel) and each group is one native CSV read. Columns a file lacks are
-    NULL, unknown ones are dropped, short and long rows are tolerated; '' and NULL become NULL.
-    Adds `_source_file`. `one_header` says that all files share the first one's header, which saves
-    opening each of them. `multi_line` allows line breaks inside quotes.
+    Spark maps a multi-file CSV read by position, so files are grouped by their header line (`headers`) and
+    each group is one native CSV read. Columns a file lacks are NULL, unknown ones are dropped, short and
+    long rows are tolerated; '' and NULL become NULL. Adds `_source_file`. `one_header` says that all files
+    share the first one's header, which saves opening each of them. `multi_line` allows line breaks inside quotes.
     """
     if one_header and paths:
-        line = _header(spark, paths[0])
-        return _csv_groups(spark, {line: list(paths)} if line else {}, columns, multi_line)
-    with ThreadPoolExecutor(32) as pool:
-        headers = list(pool.map(lambda f: _header(spark, f), paths))
-    groups: dict[str, list[str]] = {}
-    for path, line in zip(paths, headers):
-        if line:
-            groups.setdefault(line, []).append(path)
-    return _csv_groups(spark, groups, columns, multi_line)
+        return _csv_groups(spark, {line: list(paths) for line in headers(spark, paths[:1])}, columns, multi_line)
+    return _csv_groups(spark, headers(spark, paths), columns, multi_line)
 
 
 def _csv_groups(spark: SparkSession, groups: dict[str, list[str]], columns: Sequence[str],

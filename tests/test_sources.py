@@ -274,3 +274,22 @@ def test_numbering_lines_writes_no_text(spark, tmp_path):
             numbered.selectExpr("sum(_file_row)").collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_headers_are_read_in_tasks(spark, tmp_path, monkeypatch):
+    """Names with blanks and umlauts, compressed and empty files; the driver opens none of them."""
+    import gzip
+
+    (tmp_path / "a b.csv").write_text("id,v\n1,x\n" + "2,y\n" * 30_000)
+    (tmp_path / "ü%20.csv").write_text("﻿id,v\n3,z\n", encoding="utf-8")
+    (tmp_path / "c.csv").write_text("v,id\nq,4\n")
+    (tmp_path / "e.csv").write_text("")
+    with gzip.open(tmp_path / "g.csv.gz", "wt") as f:
+        f.write("v,id\nr,5\n")
+    paths = [str(tmp_path / n) for n in ("a b.csv", "ü%20.csv", "c.csv", "e.csv", "g.csv.gz")]
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    got = {h: sorted(p) for h, p in files.headers(spark, paths).items()}
+    assert got == {"id,v": sorted(paths[:2]), "v,id": sorted([paths[2], paths[4]])} and spark.conf.get("spark.sql.files.openCostInBytes") == before
+    df = files.read_csv_by_name(spark, paths, ["id", "v"])
+    assert df.count() == 30_004 and {r["id"]: r["v"] for r in df.collect()} == {"1": "x", "2": "y", "3": "z", "4": "q", "5": "r"}
+    assert files.read_csv_by_name(spark, [], ["id"]).count() == 0 and files.read_csv_by_name(spark, paths[3:4], ["id"]).count() == 0
