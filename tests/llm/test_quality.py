@@ -75,3 +75,25 @@ def test_no_labels_score_a_half(spark):
     d = spark.createDataFrame([(1, "a b")], "doc_id long, text string").select("doc_id", quality.text_statistics(F.col("text")).alias("stats"))
     model = quality.fit(d, spark.createDataFrame([], "doc_id long, quality int"))
     assert [r["s"] for r in d.select(quality.scores(model, F.col("stats")).alias("s")).collect()] == [0.5]
+
+
+def test_fit_equals_a_direct_solution(spark):
+    """Weights, folds and calibration of the query against one dense solve over all labelled rows."""
+    import zlib
+
+    draw = np.random.default_rng(6)
+    rows = [(i, [float(v) for v in draw.standard_normal(quality.STATISTICS) + (i % 3 == 0)]) for i in range(600)]
+    labels = [(i, int(i % 3 == 0) if i % 7 else None) for i in range(0, 600, 2)]
+    found = spark.createDataFrame(rows, "doc_id long, stats array<double>")
+    model = quality.fit(found, spark.createDataFrame(labels, "doc_id long, quality int"))
+    taught = [(i, q) for i, q in labels if q is not None and zlib.crc32(str(i).encode()) % 4 != 2]
+    x, y = np.array([rows[i][1] for i, _ in taught]), np.array([q for _, q in taught], dtype=float)
+    assert np.allclose(model.centre, x.mean(axis=0)) and np.allclose(model.scale, x.std(axis=0))
+    z = quality.cosines(x, x.mean(axis=0), x.std(axis=0))
+    want = np.linalg.solve(z.T @ z + quality.RIDGE * np.eye(z.shape[1]), z.T @ y)
+    assert np.allclose(model.weights, want, atol=1e-8)
+    # the curve rises, and its pools are the shares of label 1 among out-of-fold scores
+    assert (np.diff(model.at) >= 0).all() and (np.diff(model.level) >= 0).all() and 0 <= model.level.min() and model.level.max() <= 1
+    got = found.select("doc_id", quality.scores(model, found["stats"]).alias("score")).collect()
+    raw = quality.cosines(np.array([r[1] for r in rows]), model.centre, model.scale) @ want
+    assert np.allclose([r["score"] for r in sorted(got)], np.clip(np.interp(raw, model.at, model.level), 0, 1), atol=1e-6)
