@@ -5,7 +5,8 @@ most three bits one segment differs in at most one, so they either share a whole
 segment with the same one bit wildcarded. Fingerprints (distinct ones, with their smallest id) are
 indexed under the 2 whole segments and 64 one-wildcard variants; an equality join proposes pairs and
 the bit count of their difference verifies them. A variant's bucket only pairs fingerprints that
-differ in its bit, so a pair of equal segments is proposed once and not 32 times.
+differ in its bit, so a pair of equal segments is proposed once and not 32 times. Buckets are counted
+before any row is gathered in them, so a segment that a third of all fingerprints share is a number.
 
 Buckets in which that would be too many pairs (all members but `few` on both sides) are linked
 without pairs and without loss: members also emit the values of the other segment that lie within
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import materialize, ship_package
+from ..session import materialize, ship_package, small_or_not
 from .components import connected
 
 SHINGLE = 3
@@ -132,13 +133,13 @@ def _near(value: Column, bits: int) -> Column:
 def links(prints: DataFrame, few: int = FEW) -> DataFrame:
     """(`a`, `b`): fingerprints of distinct `fp` that differ in at most three bits; enough of these
     links to join all that are joined by any."""
-    bucket = W.partitionBy("place", "value")
-    sized = _variants(prints).withColumn("_n", F.count(F.lit(1)).over(bucket)).filter(F.col("_n") > 1)
-    sized = sized.withColumn("_ones", F.sum("bit").over(bucket))
+    found = _variants(prints)
+    counts = found.groupBy("place", "value").agg(F.count(F.lit(1)).alias("_n"), F.sum("bit").alias("_ones"))
     whole = F.col("place").isin(32, 65)
     # a whole-segment bucket pairs all its members, a variant's those of bit 0 with those of bit 1
     less = F.when(whole, F.col("_n")).otherwise(F.least("_ones", F.col("_n") - F.col("_ones")))
-    kept = materialize(sized.withColumn("_less", less).filter(F.col("_less") > 0).select("fp", "place", "value", "bit", "other", "_less"), "variants")
+    shared = counts.filter((F.col("_n") > 1) & (less > 0)).select("place", "value", less.alias("_less"))
+    kept = materialize(found.join(small_or_not(shared, "buckets"), ["place", "value"]), "variants")
 
     small = kept.filter(F.col("_less") <= few)
     left = small.select("place", "value", F.col("fp").alias("a"), F.col("bit").alias("_x"))

@@ -89,3 +89,15 @@ def test_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001), (5, 5)], "a long, b long")
     got = {r["node"]: r["root"] for r in connected(links, "a", "b").collect()}
     assert got == {**{i: 0 for i in range(301)}, 1000: 1000, 1001: 1000}
+
+
+def test_one_segment_in_a_third_of_all_fingerprints(spark):
+    """Its bucket is counted before its members meet; the links are those of brute force."""
+    draw = random.Random(11)
+    prints = {i: (7 << 32 | draw.getrandbits(32)) if i % 3 == 0 else draw.getrandbits(62) for i in range(900)}
+    for i in range(0, 300, 3):
+        prints[1000 + i] = prints[i] ^ (1 << draw.randrange(32)) ^ (1 << draw.randrange(60))
+    df = spark.createDataFrame(list(prints.items()), "doc_id long, fp long")
+    for few in (64, 4):
+        got = df.join(simhash.components(df, few), "fp").collect()
+        assert {r["doc_id"]: r["component_id"] for r in got} == groups(prints)
