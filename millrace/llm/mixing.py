@@ -7,7 +7,8 @@ sum of sizes reaches what is left (the document at the edge counts if that comes
 
 A sorted source is cut into key ranges. Their sums (pre-aggregated before the shuffle) give the
 running sum before each range, so only the one range that holds the edge needs its rows in order:
-a source may hold any share of all rows, and no rows move but those of that range.
+a source may hold any share of all rows, and no rows move but those of that range. They are ordered by
+distributed prefix sums, so that range may hold most of a source (it does where weights are small).
 
 u is a hash of the id and a seed: reruns and retried tasks agree. Defined results: null text has
 size 0 and takes nothing; a null source is a source, last in order; repeated rows count as rows of
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators.positions import with_rank
+from ..operators.positions import running_total, with_rank
 from ..session import materialize
 
 RANGES = 4096
@@ -103,11 +104,15 @@ def mix(
     joined = rows.join(edge, rows["source"].eqNullSafe(edge["_source"])).drop("_source")
     outside = joined.filter(~F.col("_range").eqNullSafe(F.col("_at")))
     chosen = F.coalesce(F.col("_range") < F.col("_at"), F.col("_rest") > 0)
-    earlier = W.partitionBy("source").orderBy("_key", "doc_id", "_tie", "size").rowsBetween(W.unboundedPreceding, -1)
-    inside = joined.filter(F.col("_range") == F.col("_at"))
-    inside = inside.withColumn("_sofar", F.col("_before") + F.coalesce(F.sum("size").over(earlier), F.lit(0)))
-    nearer = 2 * F.col("_sofar") + F.col("size") <= 2 * F.col("_rest")
-    both = outside.withColumn("_in", chosen).unionByName(inside.withColumn("_in", nearer).drop("_sofar"))
+    inside = joined.filter(F.col("_range") == F.col("_at")).drop("_range", "_at")
+    # one order through the edge ranges of all sources; each source's part starts at its least sum
+    ordered = materialize(running_total(inside, ["source", "_key", "doc_id", "_tie", "size"], {"_upto": F.col("size")}), "edge_rows")
+    starts = ordered.groupBy(F.col("source").alias("_source")).agg(F.min(F.col("_upto") - F.col("size")).alias("_start"))
+    placed = ordered.join(starts, ordered["source"].eqNullSafe(starts["_source"]))
+    sofar = F.col("_before") + F.col("_upto") - F.col("size") - F.col("_start")
+    nearer = 2 * sofar + F.col("size") <= 2 * F.col("_rest")
+    given = ["doc_id", "source", "size", "_key", "_tie", "source_size", "target", "epochs"]
+    both = outside.select(*given, chosen.alias("_in")).unionByName(placed.select(*given, nearer.alias("_in")))
     times = (F.col("epochs") + F.col("_in").cast("bigint")).cast("bigint")
     return both.select(
         "doc_id", "source", "size", "source_size", "target", "epochs", times.alias("times"), (times * F.col("size")).alias("taken"),

@@ -3,6 +3,8 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from millrace.llm import mixing
 
 SCHEMA = "doc_id long, text string, source string"
@@ -62,3 +64,19 @@ def test_empty_tables(spark):
     assert mixing.mix(empty).count() == 0 and mixing.repeat_rows(empty, mixing.mix(empty)).count() == 0
     wordless = spark.createDataFrame([(1, "", "a"), (2, None, None)], SCHEMA)
     assert [r["taken"] for r in mixing.mix(wordless).collect()] == [0, 0]
+
+
+def test_edge_range_that_holds_most_of_a_source(spark):
+    """Texts of symbols weigh least, so most keys lie in the last range: it is ordered all the same."""
+    rows = [(i, "#### $$$$ |||| word", "s") for i in range(900)] + [(i, "x " * 400, "t") for i in range(2000, 2100)] + [(i, "# | $", None) for i in range(3000, 3050)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = mixing.mix(docs, weights=(1, 40, 1), share=0.5).collect()
+    key = {r["doc_id"]: r["k"] for r in docs.select("doc_id", mixing.exponential_key(F.col("doc_id"), mixing.quality_weight(F.col("text")), "mix").alias("k")).collect()}
+    for source in ("s", "t", None):
+        own = sorted((r for r in found if r["source"] == source), key=lambda r: key[r["doc_id"]])
+        sofar = 0
+        for r in own:
+            rest = r["target"] - r["epochs"] * r["source_size"]
+            assert r["times"] == r["epochs"] + (2 * sofar + r["size"] <= 2 * rest)
+            sofar += r["size"]
+    assert sum(r["times"] for r in found if r["source"] == "s") not in (0, 900)
