@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import configure, materialize, ship_package
+from ..session import configure, materialize, scratch_path, ship_package, small_or_not
 from . import align, ann, chat, lines, mixing, pii, quality, sharding, simhash, spm, tokens, topk, whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,9 +90,14 @@ def op6_token_segments(spark, sf):
 
 @query
 def op7_extendible_shards(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.octet_length("text").alias("n_bytes"))
-    shards = sharding.assign(docs, "doc_id", F.col("n_bytes"), SHARD_BYTES)
-    return shards.select("doc_id", "shard", F.col("depth").cast("bigint").alias("depth"), "page", "row_bytes", "shard_bytes")
+    docs = table(spark, sf, "documents")
+    assigned = sharding.assign(docs, "doc_id", F.octet_length("text"), SHARD_BYTES)
+    path = scratch_path(spark, "shards")
+    sharding.write_shards(assigned, path)
+    back = sharding.read_shards(spark, path, assigned.schema)
+    rows = materialize(back.select("doc_id", "shard", "page", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("row_bytes")), "read_back")
+    sums = small_or_not(rows.groupBy("shard", "page").agg(F.sum("row_bytes").alias("shard_bytes")), "shard_sums")
+    return rows.join(sums, ["shard", "page"]).select("doc_id", "shard", F.length("shard").cast("bigint").alias("depth"), "page", "row_bytes", "shard_bytes")
 
 
 @query

@@ -15,14 +15,16 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.positions import running_total
-from ..session import materialize
+from ..session import materialize, small_or_not
 
 BITS = 60
 MARGIN = 4
+TIE = ["_h", "_tie", "_copy"]
 
 
 def hash_bits(key: Column) -> Column:
@@ -51,47 +53,52 @@ def assign(df: DataFrame, key: str, size: Column, limit: int) -> DataFrame:
     hashed = df.select(
         F.struct("*").alias("_row"), hash_bits(F.col(key)).alias("_h"), F.coalesce(size, F.lit(0)).cast("bigint").alias("_b")
     )
+    # the directory is made from hashes and sizes; whole rows are read once, to be dealt out
+    sizes = materialize(hashed.select("_h", "_b"), "sizes")
     fits = F.col("_b") <= limit
-    total, n_alone = hashed.agg(F.sum(F.when(fits, F.col("_b"))), F.count_if(~fits)).first()
-    total = total or 0
-    depth = min(BITS, max(0, math.ceil(math.log2(max(1, total / limit)))) + MARGIN)
+    total, n_alone = sizes.agg(F.sum(F.when(fits, F.col("_b"))), F.count_if(~fits)).first()
+    depth = min(BITS, max(0, math.ceil(math.log2(max(1, (total or 0) / limit)))) + MARGIN)
 
-    base, out = 0, []
-    rows = hashed.filter(F.col("_b") <= limit)
-    alone = hashed.filter(F.col("_b") > limit)
+    base, dealt, found_at = 0, hashed, []
+    left = sizes.filter(fits)
     while True:
-        cells = materialize(rows.groupBy(_prefix(depth).alias("_p")).agg(F.sum("_b").alias("_s")), "cells")
+        cells = materialize(left.groupBy(_prefix(depth).alias("_p")).agg(F.sum("_b").alias("_s")), "cells")
         levels = _levels(cells, base, depth)
-        found = materialize(_leaves(cells, levels, base, depth, limit), "directory")
-        out.append(rows.withColumn("_p", _prefix(depth)).join(found, "_p").drop("_p").withColumn("_page", F.lit(0).cast("bigint")))
+        n = len(found_at)
+        found = small_or_not(_leaves(levels, base, depth, limit), "directory").select(F.col("_p").alias(f"_p{n}"), F.struct("_d", "_t").alias(f"_leaf{n}"))
+        dealt = dealt.join(found, _prefix(depth) == F.col(f"_p{n}"), "left").drop(f"_p{n}")
+        found_at.append(f"_leaf{n}")
         over = levels.filter((F.col("_d") == depth) & (F.col("_t") > limit)).select(F.col("_q").alias("_p"))
         over = materialize(over, "oversized")
-        if over.isEmpty():
-            rows = None
-            break
-        rows = rows.withColumn("_p", _prefix(depth)).join(over, "_p", "left_semi").drop("_p")
-        if depth == BITS:
+        paged = not over.isEmpty()
+        if not paged or depth == BITS:
             break
+        left = left.withColumn("_p", _prefix(depth)).join(over, "_p", "left_semi").drop("_p")
         base, depth = depth, min(BITS, depth + 2 * MARGIN)
 
-    named = [
-        part.select("_row", _bits(_shift("_h", F.lit(BITS) - F.col("_d")), F.col("_d")).alias("shard"), F.col("_d").alias("depth"), F.col("_page").alias("page"), F.col("_b").alias("row_bytes"), F.col("_t").alias("shard_bytes"))
-        for part in out
-    ]
+    leaf = F.coalesce(*found_at)
+    dealt = dealt.select("_row", "_h", "_b", leaf.alias("_leaf"))
+    d = F.col("_leaf._d")
+    whole = dealt.filter(fits & F.col("_leaf").isNotNull()).select(
+        "_row", _bits(_shift("_h", F.lit(BITS) - d), d).alias("shard"), d.alias("depth"), F.lit(0).cast("bigint").alias("page"),
+        F.col("_b").alias("row_bytes"), F.col("_leaf._t").alias("shard_bytes"),
+    )
     if n_alone:
         # numbered over all of them, so that two of one key are two shards
-        tied = alone.withColumn("_tie", F.xxhash64(F.to_json("_row")))
-        apart = running_total(tied, ["_h", "_tie"], {"_nth": F.lit(1)})
-        named.append(apart.select("_row", _bits(F.col("_h"), F.lit(BITS)).alias("shard"), F.lit(BITS).alias("depth"), (-F.col("_nth")).cast("bigint").alias("page"), F.col("_b").alias("row_bytes"), F.col("_b").alias("shard_bytes")))
-    if rows is not None:
-        named.append(_pages(rows, limit))
-    whole = named[0]
-    for part in named[1:]:
-        whole = whole.unionByName(part)
+        apart = running_total(_tied(hashed.filter(~fits)), TIE, {"_nth": F.lit(1)})
+        whole = whole.unionByName(apart.select("_row", _bits(F.col("_h"), F.lit(BITS)).alias("shard"), F.lit(BITS).alias("depth"), (-F.col("_nth")).cast("bigint").alias("page"), F.col("_b").alias("row_bytes"), F.col("_b").alias("shard_bytes")))
+    if paged:
+        whole = whole.unionByName(_pages(dealt.filter(fits & F.col("_leaf").isNull()).drop("_leaf"), limit))
     added = ("shard", "depth", "page", "row_bytes", "shard_bytes")
     return whole.select(*[F.col("_row")[c].alias(c) for c in df.columns if c.lower() not in added], *added)
 
 
+def _tied(rows: DataFrame) -> DataFrame:
+    """Rows with the columns of `TIE`, by which ranges part also equal rows of one key. They are written
+    first, so that a row keeps its number when a task is repeated."""
+    return materialize(rows, "tied").withColumn("_tie", F.xxhash64(F.to_json("_row"))).withColumn("_copy", F.monotonically_increasing_id())
+
+
 def _levels(cells: DataFrame, base: int, depth: int) -> DataFrame:
     """Bytes of every prefix `_q` of length `_d` from `base` to `depth`."""
     steps = cells.select("_p", "_s", F.explode(F.sequence(F.lit(base), F.lit(depth))).alias("_d"))
@@ -99,25 +106,26 @@ def _levels(cells: DataFrame, base: int, depth: int) -> DataFrame:
     return materialize(steps.groupBy("_d", at.alias("_q")).agg(F.sum("_s").alias("_t")), "levels")
 
 
-def _leaves(cells: DataFrame, levels: DataFrame, base: int, depth: int, limit: int) -> DataFrame:
-    """Per fine prefix `_p` the depth `_d` and bytes `_t` of the shard that holds it, if one fits."""
-    steps = cells.select("_p", F.explode(F.sequence(F.lit(base), F.lit(depth))).alias("_d"))
-    at = _shift("_p", F.lit(depth) - F.col("_d"))
-    fits = levels.filter(F.col("_t") <= limit)
-    return (
-        steps.withColumn("_q", at).join(fits, ["_d", "_q"])
-        .groupBy("_p").agg(F.min(F.struct("_d", "_t")).alias("_m")).select("_p", "_m._d", "_m._t")
+def _leaves(levels: DataFrame, base: int, depth: int, limit: int) -> DataFrame:
+    """Per fine prefix `_p` below a shard the depth `_d` and bytes `_t` of that shard: the prefixes that fit while
+    the one above does not."""
+    split = levels.filter((F.col("_t") > limit) & (F.col("_d") < depth)).select(
+        (F.col("_d") + 1).alias("_d"), F.explode(F.array(2 * F.col("_q"), 2 * F.col("_q") + 1)).alias("_q"), F.lit(None).cast("bigint").alias("_t"), F.lit(True).alias("_up")
     )
+    known = levels.select("_d", "_q", "_t", (F.col("_d") == base).alias("_up")).unionByName(split)
+    leaves = known.groupBy("_d", "_q").agg(F.max("_t").alias("_t"), F.max("_up").alias("_up")).filter((F.col("_t") <= limit) & F.col("_up"))
+    width = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.lit(depth) - F.col("_d"))
+    return leaves.select(F.explode(F.sequence(F.col("_q") * width, (F.col("_q") + 1) * width - 1)).alias("_p"), "_d", "_t")
 
 
 def _pages(rows: DataFrame, limit: int) -> DataFrame:
     """Rows of one hash in pages: large rows alone, the others by running sums over half the limit."""
     half = limit // 2
-    tie = rows.withColumn("_tie", F.xxhash64(F.to_json("_row")))
-    small = running_total(tie.filter(F.col("_b") <= half), ["_h", "_tie"], {"_upto": F.col("_b")})
+    tied = _tied(rows)
+    small = running_total(tied.filter(F.col("_b") <= half), TIE, {"_upto": F.col("_b")})
     # a page starts at multiples of half the limit and its last row adds at most another half
     paged = small.withColumn("_page", 2 * F.floor((F.col("_upto") - F.col("_b")) / F.lit(max(1, half))) + 2)
-    big = running_total(tie.filter(F.col("_b") > half), ["_h", "_tie"], {"_upto": F.lit(1)}).withColumn("_page", 2 * F.col("_upto") + 1)
+    big = running_total(tied.filter(F.col("_b") > half), TIE, {"_upto": F.lit(1)}).withColumn("_page", 2 * F.col("_upto") + 1)
     both = materialize(paged.unionByName(big), "pages")
     sums = both.groupBy("_h", "_page").agg(F.sum("_b").alias("_t"))
     return both.join(sums, ["_h", "_page"]).select(
@@ -129,3 +137,10 @@ def _pages(rows: DataFrame, limit: int) -> DataFrame:
 def write_shards(assigned: DataFrame, path: str) -> None:
     """One folder per shard; a shard fits its limit, so one task writes it."""
     assigned.repartition("shard", "page").write.mode("overwrite").partitionBy("shard", "page").parquet(path)
+
+
+def read_shards(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows of all shards below `path`; `schema` is that of what was written."""
+    stored = spark.read.schema(schema).parquet(path)
+    # the root's empty name is no folder name
+    return stored.select(*[F.coalesce("shard", F.lit("")).alias("shard") if c == "shard" else c for c in schema.names])

@@ -67,3 +67,31 @@ def test_rows_over_the_limit_are_shards_of_their_own(spark):
     apart = [r for r in found if r["row_bytes"] > 100]
     assert len({(r["shard"], r["page"]) for r in apart}) == 4 and all(r["page"] < 0 and r["shard_bytes"] == r["row_bytes"] for r in apart)
     assert [(r["page"], r["shard_bytes"]) for r in found if r["row_bytes"] == 5] == [(0, 5)]
+
+
+def test_equal_rows_of_one_key_fill_several_ranges(spark):
+    """Copies in every column are told apart by where they were written."""
+    df = spark.createDataFrame([("hot", 50, 1)] * 600 + [(str(i), 50, 0) for i in range(100)], "id string, n long, x int")
+    assert sharding._tied(df.select(F.struct("*").alias("_row"), F.lit(0).alias("_h"), F.lit(50).alias("_b"))).select("_h", "_tie", "_copy").distinct().count() == 700
+    found = sharding.assign(df, "id", F.col("n"), 1000).collect()
+    assert len(found) == 700
+    check(found, 1000)
+
+
+def test_shards_read_back(spark, tmp_path):
+    """Names with leading zeros and the root's empty name come back, also pages of a hot key and rows over the limit."""
+    for limit in (100, 10_000):
+        rows = [(str(i), 10, i) for i in range(60)] + [("hot", 30, i) for i in range(40)] + [("big", 5000, 0), (None, None, 1)]
+        assigned = shards(spark, rows, limit)
+        path = str(tmp_path / f"out{limit}")
+        sharding.write_shards(assigned, path)
+        back = sharding.read_shards(spark, path, assigned.schema)
+        names = ["id", "n", "x", "shard", "depth", "page", "row_bytes", "shard_bytes"]
+        assert back.columns == assigned.columns
+        # pages depend on which copy comes first; what a shard holds does not
+        given, got = ({(tuple(r[c] for c in ("id", "n", "x", "shard"))) for r in f.collect()} for f in (assigned, back))
+        assert given == got and back.count() == len(rows)
+        check(back.select(*names).collect(), limit)
+    nothing = shards(spark, [], 10)
+    sharding.write_shards(nothing, str(tmp_path / "none"))
+    assert sharding.read_shards(spark, str(tmp_path / "none"), nothing.schema).count() == 0
