@@ -23,7 +23,7 @@ _SETTINGS = {
     # split a hot key even where the split costs one more shuffle further on
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # a Python worker holds a batch several times over: its rows, what it makes of them, and both on the wire
-    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 
