@@ -280,6 +280,11 @@ def all_spans(cands: Column, model: Model, threshold: float = THRESHOLD) -> Colu
     return let(F.struct(strict_spans(cands).alias("strict"), F.filter(cands, lambda c: ~c["base"]).alias("loose")), choose)
 
 
+def count_kind(spans: Column, kind: str) -> Column:
+    # a second parameter of the lambda, a default too, would be the element's index
+    return F.size(F.filter(spans, lambda s: s["kind"] == KINDS.index(kind)))
+
+
 def spans_text(spans: Column) -> Column:
     """kind:start:end, comma-joined."""
     names = F.array(*[F.lit(k) for k in KINDS])

@@ -111,7 +111,7 @@ def op9_personal_data(spark, sf):
     found = materialize(docs.select("doc_id", pii.candidates(F.coalesce("text", F.lit(""))).alias("cands")), "candidates")
     model = pii.fit(found)
     spans = found.select("doc_id", pii.strict_spans(F.col("cands")).alias("_base"), pii.all_spans(F.col("cands"), model).alias("_all"))
-    counts = [F.size(F.filter("_base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    counts = [pii.count_kind(F.col("_base"), kind).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS]
     return spans.select(
         "doc_id", *counts, F.sha2(pii.spans_text(F.col("_base")), 256).alias("base_sha256"), pii.spans_text(F.col("_all")).alias("spans")
     )

@@ -1,9 +1,11 @@
+import hashlib
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import pii
+from millrace.llm.queries import op9_personal_data
 
 TEXTS = [
     "a@b.c-x_y@d.e q", "1.2.3.4.5.6.7.8", "999.1.1.1.5.5.5 300.1.2.3 010.0.0.255", "4111 1111 1111 1111", "4111-1111-1111-1111 4111  1111",
@@ -74,3 +76,14 @@ def test_empty_table_and_native(spark, docs):
     assert pii.redact_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     plan = pii.redact_documents(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_query_counts_each_kind(docs, spark, tmp_path):
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in op9_personal_data(spark, str(tmp_path)).collect()}
+    for i, text in enumerate(TEXTS):
+        spans = base(text or "")
+        assert [got[i][f"n_{k}"] for k in pii.KINDS] == [sum(s[0] == k for s in spans) for k in pii.KINDS]
+        assert got[i]["base_sha256"] == hashlib.sha256(joined(spans).encode()).hexdigest()
+    # several spans of one kind, and kinds out of their places
+    assert [got[16][f"n_{k}"] for k in pii.KINDS] == [1, 0, 0, 1] and [got[23][f"n_{k}"] for k in pii.KINDS] == [1, 1, 0, 0]
