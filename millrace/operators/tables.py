@@ -164,8 +164,9 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def write_ndjson(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+def write_ndjson(df: DataFrame, path: str, compression: str | None = None) -> None:
+    """A compressed file is read by one task: for outputs of many files."""
+    df.write.mode("overwrite").json(path, compression=compression)
 
 
 def log_transfer(spark: SparkSession, path: str, rows: DataFrame, entry: str) -> bool:

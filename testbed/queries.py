@@ -829,12 +829,12 @@ def stream_ndjson(spark, sf):
     """NDJSON files streamed into a Variant table with file and row lineage."""
     root = scratch_path(spark, "ndstream")
     docs = encounter_documents(spark, sf).drop("_source_file", "_file_row", "_load_ts")
-    tables.write_ndjson(docs, f"{root}/in")
+    tables.write_ndjson(docs, f"{root}/in", "snappy")
 
     def read(s, paths):
         return landing.encounters_from_ndjson(s, paths, ntz("2024-01-01 00:00:00"))
 
-    ingest.auto_ingest(spark, f"{root}/in", "*.json", read, f"{root}/raw", f"{root}/ck").awaitTermination()
+    ingest.auto_ingest(spark, f"{root}/in", "*.json.snappy", read, f"{root}/raw", f"{root}/ck").awaitTermination()
     raw = spark.read.parquet(f"{root}/raw")
     return staging.encounters_flat(raw).select("encounter_id", "total_charge", "observation_count")
 
