@@ -1,7 +1,9 @@
 from pyspark.sql import functions as F
 
+from millrace.operators import tables
 from millrace.operators.tables import merge_buckets, write_batch, write_buckets
 from millrace.plans import staging
+from millrace.session import materialize
 from millrace.sources import landing
 from millrace.streaming import alerts, ingest, maintain
 
@@ -249,3 +251,60 @@ def test_loaded_files_are_archived(spark, tmp_path, rows):
     go()
     assert rows(spark.read.parquet(str(tmp_path / "raw")), "patient_id") == [("P0",), ("P1",), ("P2",)]
     assert list((tmp_path / "old").rglob("patients_0.csv"))
+
+
+def test_projection_is_part_of_the_stream(spark, tmp_path):
+    """The source then reads the paths it takes, not whole documents."""
+    seen, e = [], str(tmp_path / "e")
+    write_batch(doc(spark, "E1", "P1", "2024-01-05T00:00:00", "2024-01-02"), 0, e)
+
+    def project(df):
+        seen.append(df.isStreaming)
+        return staging.dt_encounters(df)
+
+    maintain.maintain_projection(ingest.raw_changes(spark, [e], maintain.RAW_ENCOUNTER_SCHEMA), project, str(tmp_path / "dt"), str(tmp_path / "ck")).awaitTermination()
+    assert seen == [True] and spark.read.parquet(str(tmp_path / "dt")).count() == 1
+
+
+def test_upkeep_holds_no_rows(spark, tmp_path, monkeypatch):
+    """A batch of any size is read where it is, column by column, and never kept whole."""
+    p, e, out = (str(tmp_path / n) for n in ("p", "e", "out"))
+    write_batch(patient(spark, "P1", "Rome", "2024-01-02"), 0, p)
+    write_batch(doc(spark, "E1", "P1", "2024-01-05T00:00:00", "2024-01-02"), 0, e)
+
+    def held(self, *args):
+        raise AssertionError("rows of a batch were held")
+
+    for kind in {type(spark.range(0)), type(spark.range(0)).__mro__[1]}:
+        monkeypatch.setattr(kind, "persist", held)
+    maintain.maintain(spark, [p], [e], out, str(tmp_path / "ck"), buckets=2, clock=lambda n: "2024-02-01").awaitTermination()
+    assert maintain.Warehouse(spark, out, 2).table("staging/observations").count() == 1
+
+
+def test_documents_are_flattened_before_any_join(spark, tmp_path, monkeypatch):
+    """However many documents are replaced, none is shuffled whole."""
+    e = str(tmp_path / "e")
+    rows = [doc(spark, f"E{i % 7}", "P1", "2024-01-05T00:00:00", f"2024-01-{i + 1:02d}") for i in range(12)]
+    for i, row in enumerate(rows):
+        write_batch(row, i, e)
+    raw = spark.read.schema(maintain.RAW_ENCOUNTER_SCHEMA).parquet(e)
+    monkeypatch.setattr(staging, "small_or_not", lambda df, label: df)
+    encounters, observations = staging.stage_documents(raw)
+    assert encounters.count() == 7 == observations.count()
+    for out in (encounters, observations):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "v:variant" not in plan and "v:struct<" in plan
+
+
+def test_compressed_ndjson_keeps_its_rows(spark, tmp_path):
+    docs = spark.range(50).selectExpr("concat('E', id) encounter_id").coalesce(1)
+    tables.write_ndjson(docs, str(tmp_path / "j"), "snappy")
+    assert all(f.name.endswith(".json.snappy") for f in (tmp_path / "j").glob("part-*"))
+    back = landing.encounters_from_ndjson(spark, str(tmp_path / "j"), ts("2024-01-01"))
+    got = sorted((r["_file_row"], r["e"]) for r in back.select("_file_row", F.expr("variant_get(v, '$.encounter_id', 'string')").alias("e")).collect())
+    assert got == [(i + 1, f"E{i}") for i in range(50)]
+
+
+def test_a_codec_of_its_own(spark, tmp_path):
+    stored = materialize(spark.range(10), "numbers", codec="zstd")
+    assert stored.count() == 10 and all(".zstd." in f for f in stored.inputFiles())
