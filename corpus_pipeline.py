@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import mixing, neardup, pii, quality, spm
 from millrace.llm.queries import model_file, table
-from millrace.session import configure, scratch_path, scratch_scope
+from millrace.session import configure, materialize, scratch_path, scratch_scope  # noqa: F401 - `materialize` for tests of the stages
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +21,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingles are 0.8 or more alike: that of the smallest id."""
+    """One document of each group whose five-word shingles are 0.8 or more alike: that of the smallest id.
+
+    SimHash fingerprints and their deletion variants propose pairs, as in `op8_simhash`, and MinHash bands
+    those further off; the exact similarity decides.
+    """
     configure(spark)
     return neardup.keep_one(docs)
 

@@ -1,17 +1,19 @@
 """Near-duplicates for cleaning a corpus: five-word shingles, a Jaccard similarity of 0.8 or more.
 
-The fingerprints of `simhash` cannot serve here: at 0.8 about one bit in seven differs, so segments of
-which one differs in at most one bit would have six to nine bits and propose nearly every pair. Instead
-256 minima over the shingles' hashes are cut into 32 bands of eight. A pair meets in one of them with
-probability 1 - (1 - s^8)^32: 0.997 at 0.8, 0.99999 at 0.9. Every pair that meets is then verified by the
-exact Jaccard similarity of its shingle sets, so documents that only share a band stay.
+Pairs are proposed by the fingerprints of `simhash`, here over the five-word shingles: its deletion
+variants find all pairs that differ in at most three bits. Alone they cannot serve: at 0.8 about one bit
+in seven differs, and segments of which one differs in at most one bit would then have six to nine bits
+and propose nearly every pair. Further off, pairs are proposed by 256 minima over the shingles' hashes, cut
+into 32 bands of eight. A pair meets in one of them with probability 1 - (1 - s^8)^32: 0.997 at 0.8, 0.99999
+at 0.9. Every pair proposed is then verified by the exact Jaccard similarity of its shingle sets, so
+documents that only share a fingerprint or a band stay.
 
 Texts of equal shingle sets are one node. A bucket of more than `FEW` nodes is dealt, by another draw in
 each band, into cells of about `CELL`, and pairs are formed inside cells: linear in the bucket, and enough
 to join groups of copies. A node also keeps one byte of each minimum: pairs of which fewer than 0.7 agree
 are dropped before any text moves (a pair at 0.8 lies four standard deviations above; 3 in 100,000 are
-lost). Pairs are filtered so and verified in two rounds: each node's likeliest partner, then all pairs
-that are not in one component yet.
+lost). Pairs are filtered so and verified in two rounds: a node's likeliest partner of either kind, then
+all pairs that are not in one component yet.
 
 No cell loses a pair: a bucket of more than `FEW` nodes that is still in several components is compared
 whole, in pairs of blocks of about `BLOCK` texts that give only links between components. This exact way
@@ -63,18 +65,20 @@ def alike(a: np.ndarray, b: np.ndarray, least: float = ALIKE) -> bool:
     return both >= least * (len(a) + len(b) - both)
 
 
-def signature(text: str | None) -> tuple[int, list[int], bytes]:
-    """Hash of the shingle set, one value per band, and a byte of each minimum; neither without words."""
-    found = shingles(text)
-    if not len(found):
-        return 0, [], b""
+def signature(text: str | None) -> tuple[int, list[int], bytes, int]:
+    """Hash of the shingle set, one value per band, a byte of each minimum (neither without words), and the fingerprint."""
+    parts = [np.array(found, dtype="<u8") for found in simhash.hashes(text, WIDTH) if found]
+    if not parts:
+        return 0, [], b"", 0
+    found = np.unique(np.concatenate(parts))
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
     for i in range(0, len(found), 512):
         np.minimum(least, (found[i:i + 512, None] * _TIMES + _PLUS).min(axis=0), out=least)
     rows = least.reshape(BANDS, ROWS)
     # the high bits of a minimum are zeros for the most part
     mixed = ((least * _TIMES) >> np.uint64(32)).astype(np.uint8)
-    return xxhash.xxh64_intdigest(found.tobytes()), [xxhash.xxh64_intdigest(r.tobytes(), band) for band, r in enumerate(rows)], mixed.tobytes()
+    values = [xxhash.xxh64_intdigest(r.tobytes(), band) for band, r in enumerate(rows)]
+    return xxhash.xxh64_intdigest(found.tobytes()), values, mixed.tobytes(), simhash.majority(parts)
 
 
 def _signed(values: list[int]) -> np.ndarray:
@@ -84,9 +88,11 @@ def _signed(values: list[int]) -> np.ndarray:
 def signatures(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
         found = [signature(t.as_py()) for t in batch]
-        ends = np.concatenate([[0], np.cumsum([len(b) for _, b, _ in found])]).astype(np.int32)
-        bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(_signed([v for _, b, _ in found for v in b])))
-        yield pa.StructArray.from_arrays([pa.array(_signed([k for k, _, _ in found])), bands, pa.array([m for _, _, m in found], pa.binary())], ["fp", "bands", "minima"])
+        keys, bands, minima, prints = zip(*found, strict=True) if found else ((), (), (), ())
+        ends = np.concatenate([[0], np.cumsum([len(b) for b in bands])]).astype(np.int32)
+        listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(_signed([v for b in bands for v in b])))
+        columns = [pa.array(_signed(list(keys))), listed, pa.array(list(minima), pa.binary()), pa.array(_signed(list(prints)))]
+        yield pa.StructArray.from_arrays(columns, ["fp", "bands", "minima", "print"])
 
 
 def likely(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -108,6 +114,18 @@ def verdicts(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]
         yield pa.array(out, pa.bool_())
 
 
+def near_prints(nodes: DataFrame) -> DataFrame:
+    """(`a`, `b`): nodes of (`fp`, `print`) whose fingerprints differ in at most three bits, enough to join
+    all that do. The least node of a fingerprint stands for it and is paired with its others."""
+    prints = materialize(nodes.groupBy("print").agg(F.min("fp").alias("_node")), "prints")
+    left = prints.select(F.col("print").alias("a"), F.col("_node").alias("_left"))
+    right = prints.select(F.col("print").alias("b"), F.col("_node").alias("_right"))
+    linked = simhash.links(prints.select(F.col("print").alias("fp"))).join(left, "a").join(right, "b")
+    between = linked.select(F.least("_left", "_right").alias("a"), F.greatest("_left", "_right").alias("b"))
+    within = nodes.select("fp", "print").join(prints, "print").filter(F.col("fp") != F.col("_node"))
+    return materialize(between.unionByName(within.select(F.col("_node").alias("a"), F.col("fp").alias("b"))).distinct(), "near_prints")
+
+
 def proposed(nodes: DataFrame, few: int = FEW, cell: int = CELL) -> DataFrame:
     """(`a`, `b`, `n`): pairs of (`fp`, `bands`) that meet, in how many bands."""
     rows = nodes.select("fp", F.explode("bands").alias("value"))
@@ -228,17 +246,19 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def links(nodes: DataFrame, docs: DataFrame, few: int = FEW, cell: int = CELL, block: int = BLOCK) -> DataFrame:
-    """(`a`, `b`): alike nodes of (`fp`, `bands`, `minima`, `_first`), enough to join all that meet in a band."""
-    pairs = proposed(nodes, few, cell)
-    # at most one pair per node is looked at before components are known: a group of copies has many pairs
+    """(`a`, `b`): alike nodes of (`fp`, `bands`, `minima`, `print`, `_first`), enough to join all that meet in
+    a band or by their fingerprints."""
+    near, pairs = near_prints(nodes), proposed(nodes, few, cell)
+    # at most one pair of a kind per node is looked at before components are known: a group of copies has many
     best = pairs.groupBy("b").agg(F.max(F.struct("n", "a")).alias("_x")).select("_x.a", "b")
+    best = materialize(best.unionByName(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")).distinct(), "best")
     likeliest = promising(best, nodes)
     first = verified(likeliest, texts_of(_ends(likeliest), nodes, docs))
     roots = materialize(connected(first, "a", "b"), "roots")
-    rest = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
+    rest = pairs.select("a", "b").unionByName(near).join(best, ["a", "b"], "left_anti")
     for end in ("a", "b"):
         rest = rest.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"_{end}")), end, "left")
-    rest = rest.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
+    rest = rest.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b").distinct()
     rest = promising(materialize(rest, "rest"), nodes)
     texts = texts_of(_ends(rest), nodes, docs)
     linked = first.unionByName(verified(rest, texts))
@@ -252,11 +272,11 @@ def keep_one(docs: DataFrame, few: int = FEW, cell: int = CELL, block: int = BLO
     lost_path, repeated_path = scratch_path(spark, "lost"), scratch_path(spark, "repeated")
     with scratch_scope(spark):
         signatures.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-        signed = F.arrow_udf(signatures, "struct<fp:bigint,bands:array<bigint>,minima:binary>")(F.col("text"))
+        signed = F.arrow_udf(signatures, "struct<fp:bigint,bands:array<bigint>,minima:binary,print:bigint>")(F.col("text"))
         rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("body"), signed.alias("_s"))
         rows = materialize(rows.select("doc_id", "body", "_s.*"), "signed")
         name = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "body")
-        nodes = materialize(rows.groupBy("fp").agg(F.min(name).alias("_first"), F.first("bands").alias("bands"), F.first("minima").alias("minima")), "nodes")
+        nodes = materialize(rows.groupBy("fp").agg(F.min(name).alias("_first"), F.first("bands").alias("bands"), F.first("minima").alias("minima"), F.min("print").alias("print")), "nodes")
         roots = materialize(connected(links(nodes, docs, few, cell, block), "a", "b"), "roots")
         named = nodes.select("fp", "_first").join(roots, nodes["fp"] == roots["node"], "left").select("_first", F.coalesce("root", "fp").alias("root"))
         kept = named.groupBy("root").agg(F.min("_first").alias("_first")).select(F.col("_first.doc_id").alias("_id"), F.col("_first.body").alias("_body"))

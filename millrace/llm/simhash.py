@@ -20,7 +20,7 @@ component is named by its smallest doc_id, null only if it has none; equal rows
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -75,8 +75,13 @@ def hashes(text: str | None, width: int, seed: int = 42) -> Iterator[list[int]]:
 
 def fingerprint(text: str | None, width: int = SHINGLE, seed: int = 42) -> int:
     """Majority of the bits of all shingles' XXH64, unsigned."""
+    return majority(hashes(text, width, seed))
+
+
+def majority(runs: Iterable[list[int] | np.ndarray]) -> int:
+    """The bits that are set in over half of all values."""
     ones, total = np.zeros(64, dtype=np.int64), 0
-    for found in hashes(text, width, seed):
+    for found in runs:
         for i in range(0, len(found), 1 << 16):
             part = np.array(found[i:i + (1 << 16)], dtype="<u8")
             ones += np.unpackbits(part.view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)

@@ -3,7 +3,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from millrace.llm import neardup
+from millrace.llm import neardup, simhash
 
 
 def brute(text):
@@ -131,3 +131,26 @@ def test_links_between_blocks():
             return root
 
         assert parts([(a - 1000, b - 1000) for a, b in found]) == parts(sorted(near))
+
+
+def test_fingerprints_propose_pairs_and_the_similarity_decides(spark, monkeypatch):
+    draw, texts = random.Random(3), {}
+    for i in range(40):
+        words = [f"w{draw.randrange(3000)}" for _ in range(400)]
+        texts[i] = " ".join(words)
+        texts[100 + i] = " ".join([*words[:200], "x", *words[201:]])
+    # words told apart by case only, and no words at all
+    texts |= {300: "a b c d e", 301: "A B c d E", 302: "", 303: None}
+    prints = {i: neardup.signature(t)[3] for i, t in texts.items()}
+    assert prints[0] == simhash.fingerprint(texts[0], neardup.WIDTH) and prints[302] == 0
+    nodes = spark.createDataFrame([(i, neardup._signed([p])[0].item()) for i, p in prints.items()], "fp long, print long")
+    got = {(r["a"], r["b"]) for r in neardup.near_prints(nodes).collect()}
+    near = {(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 3}
+    assert got == near and {(300, 301), (302, 303)} < near and len(near) > 3
+
+    # the stage takes them: without any band it still joins what they propose and the similarity confirms
+    monkeypatch.setattr(neardup, "proposed", lambda nodes, few, cell: nodes.limit(0).selectExpr("fp a", "fp b", "0L n"))
+    docs = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string")
+    kept = {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, "").collect()}
+    gone = {b for a, b in near if jaccard(texts[a], texts[b]) >= 0.8}
+    assert kept == set(texts) - gone and len(gone) > 3
