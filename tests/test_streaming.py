@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import functions as F
 
 from millrace.operators import tables
@@ -289,11 +291,17 @@ def test_documents_are_flattened_before_any_join(spark, tmp_path, monkeypatch):
         write_batch(row, i, e)
     raw = spark.read.schema(maintain.RAW_ENCOUNTER_SCHEMA).parquet(e)
     monkeypatch.setattr(staging, "small_or_not", lambda df, label: df)
-    encounters, observations = staging.stage_documents(raw)
-    assert encounters.count() == 7 == observations.count()
-    for out in (encounters, observations):
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        assert "v:variant" not in plan and "v:struct<" in plan
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        encounters, observations = staging.stage_documents(raw)
+        assert encounters.count() == 7 == observations.count()
+        for out in (encounters, observations):
+            plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+            shuffled = [part for part in plan.split("\n\n") if re.match(r"\s*\(\d+\) Exchange", part)]
+            assert len(shuffled) == 2 and not any(re.search(r"[\[ ]v#\d+", part) for part in shuffled)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
 def test_compressed_ndjson_keeps_its_rows(spark, tmp_path):
