@@ -10,6 +10,10 @@ the marker splits a text without changing its ids, and words are encoded once pe
 Parity is verified as it goes: every word (or whole text) that the backend encodes is encoded by the
 sentencepiece library too, and where they differ sentencepiece's ids stand and `parity` is false.
 
+Reading back puts the bytes of a document's pieces in a row and compares them with its text; where they
+differ the library's decoder has the last word. Equal bytes are what the decoder gives: pieces other than
+bytes hold whole characters, so a run of byte pieces inside a valid text is valid itself.
+
 Defined results: null text is empty and has no ids; every row is encoded by itself; other columns
 stay as they are.
 """
@@ -17,6 +21,7 @@ stay as they are.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -166,6 +171,16 @@ def build(model: Model):
     return tokenizer
 
 
+def spoken(tokenizer) -> pa.LargeBinaryArray:
+    """The bytes that each id stands for, by the steps of `build`'s decoder: marker to space, byte pieces to their byte."""
+    out = []
+    for i in range(max(tokenizer.get_vocab(with_added_tokens=True).values(), default=-1) + 1):
+        piece = (tokenizer.id_to_token(i) or "").replace(MARK, " ")
+        byte = re.fullmatch("<0x([0-9A-Fa-f]{2})>", piece)
+        out.append(bytes([int(byte[1], 16)]) if byte else piece.encode())
+    return pa.array(out, pa.large_binary())
+
+
 class Backend:
     """Encoder and decoder of one worker."""
 
@@ -176,6 +191,7 @@ class Backend:
         self.tokenizer = build(self.model)
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.words = WordTable(self._verified, np.int32, KNOWN)
+        self.spoken = spoken(self.tokenizer)
 
     def _verified(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
         """The backend's own ids, and where they differ from sentencepiece's, which then stand."""
@@ -207,6 +223,26 @@ class Backend:
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         return self.tokenizer.decode_batch([i.tolist() for i in ids], skip_special_tokens=True)
 
+    def reads_back(self, ids: list[np.ndarray], texts: pa.StringArray) -> list[bool]:
+        """Whether each text is what its ids decode to."""
+        same = np.zeros(len(ids), dtype=bool)
+        flat = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32)
+        if len(flat):
+            said = self.spoken.take(pa.array(flat))
+            ends = np.cumsum([0, *map(len, ids)])
+            offsets = np.frombuffer(said.buffers()[1], dtype=np.int64, count=len(flat) + 1)[ends]
+            read = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(offsets), said.buffers()[2]])
+            want = texts.cast(pa.large_binary())
+            if self.model.dummy_prefix:
+                want = pc.binary_join_element_wise(pa.scalar(b"", pa.large_binary()), want, pa.scalar(b" ", pa.large_binary()))
+            same = pc.equal(read, want).to_numpy(zero_copy_only=False).copy()
+        others = np.flatnonzero(~same)
+        for at in range(0, len(others), LOT):
+            lot = others[at:at + LOT]
+            known = texts.take(pa.array(lot)).to_pylist()
+            same[lot] = [a == b for a, b in zip(self.decode([ids[i] for i in lot]), known, strict=True)]
+        return same.tolist()
+
 
 def _backend(data: bytes, threads: int) -> Backend:
     key = hash(data)
@@ -234,9 +270,7 @@ def encode_documents(docs: DataFrame, model: bytes, text: str = "text", threads:
                 found, same = backend.encode(texts)
                 ids += found
                 agree += same
-                for at in range(0, len(found), LOT):
-                    texts_of = texts.slice(at, LOT).to_pylist()
-                    back += [a == b for a, b in zip(backend.decode(found[at:at + LOT]), texts_of, strict=True)]
+                back += backend.reads_back(found, texts)
             sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
             offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32), pa.int32())

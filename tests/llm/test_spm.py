@@ -101,3 +101,18 @@ def test_fields_of_all_wire_types():
     assert list(spm.fields(data)) == [(1, 300), (2, b"12345678"), (3, b"ab"), (4, b"wxyz")]
     with pytest.raises(ValueError):
         list(spm.fields(bytes([3])))
+
+
+def test_only_texts_that_differ_go_through_the_decoder(monkeypatch):
+    backend = spm.Backend(FILE)
+    texts = [t or "" for t in TEXTS] + ["🤖 \x00 \U0010FFFF", "a▁", "<0x41> <0xE2><0x96><0x81>"]
+    ids, _ = backend.encode(pa.array(texts))
+    library, asked = backend.decode, []
+    want = [a == b for a, b in zip(library(ids), texts, strict=True)]
+    monkeypatch.setattr(backend, "decode", lambda part: asked.extend(part) or library(part))
+    assert backend.reads_back(ids, pa.array(texts)) == want
+    # what has no ids, and what the marker makes differ
+    assert len(asked) == sum(not t or "▁" in t for t in texts)
+    wrong = [i[::-1].copy() for i in ids]
+    assert backend.reads_back(wrong, pa.array(texts)) == [a == b for a, b in zip(library(wrong), texts, strict=True)]
+    assert backend.reads_back([], pa.array([], pa.string())) == []
