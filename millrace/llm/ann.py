@@ -36,6 +36,8 @@ DEGREE = 16
 BEAM = 64
 WIDEST = 256
 STEP = 4
+# centroids that a search measures at once, and rows of the centroids' distances that a graph is made of at once
+MEASURED, ROWS = 512 * 64, 1024
 
 
 def centroids(sample: np.ndarray, lists: int) -> tuple[np.ndarray, np.ndarray]:
@@ -62,9 +64,11 @@ class Graph:
     def __init__(self, centres: np.ndarray, degree: int = DEGREE):
         self.centres = centres
         n = len(centres)
-        self.apart = _squared(centres, centres)
         degree = min(degree, n)
-        near = np.argsort(self.apart, axis=1, kind="stable")[:, :degree]
+        self.apart, near = np.empty((n, n)), np.empty((n, degree), dtype=np.int64)
+        for at in range(0, n, ROWS):
+            self.apart[at:at + ROWS] = _squared(centres[at:at + ROWS], centres)
+            near[at:at + ROWS] = np.argsort(self.apart[at:at + ROWS], axis=1, kind="stable")[:, :degree]
         # far links keep the graph in one piece: every node also knows one of a ring through all
         ring = np.random.default_rng(5).permutation(n)
         follow = np.empty(n, dtype=np.int64)
@@ -79,6 +83,11 @@ class Graph:
         self.links = np.array([[*sorted(k), *[a] * (width - len(k))] for a, k in enumerate(known)])
         self.entry = np.unique(np.linspace(0, n - 1, min(n, 8)).astype(np.int64))
 
+    def at_once(self) -> int:
+        """Rows to search together: a centroid that many others know has that many links, and each step of a row
+        measures as many centroids as the longest of them."""
+        return max(1, min(512, MEASURED // self.links.shape[1]))
+
     def search(self, x: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
         """Up to `beam` nearest centroids per row and their squared distances, nearest first; -1 where fewer were met."""
         rows, n = len(x), len(self.centres)
@@ -170,9 +179,10 @@ def _spread(frame: DataFrame, name: str, lists_of, centres: np.ndarray) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph = Graph(centres)
+        most = graph.at_once()
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, most):
+                part = batch.slice(at, most)
                 found = lists_of(graph, vectors.matrix(part.column(1)))
                 row = np.repeat(np.arange(part.num_rows), [len(f) for f in found])
                 place = np.concatenate([np.arange(len(f)) for f in found])
@@ -224,6 +234,6 @@ def nearest(
         now = wanted.filter((F.col("place") >= low) & (F.col("place") < high)).select("unit", "qid")
         scanned = vectors.scan(blocks, now, queries, k + 1, reached)
         top = materialize(vectors.best(scanned if top is None else scanned.unionByName(top), k + 1), "top")
-        reached = materialize(vectors.kth(top, k), "reached")
+        reached = vectors.kth(top, k)
         low, high = high, high * 4
     return vectors.answer(ask, found, top, k, F.col("score"))

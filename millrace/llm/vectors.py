@@ -177,7 +177,6 @@ def answer(asking: DataFrame, found: DataFrame, top: DataFrame, k: int, score: C
     order = W.partitionBy("qid").orderBy(F.desc("score"), "id")
     least = ids.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k + 1)
     lists = least.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("_n", "id", "score"))).alias("_list"))
-    lists = materialize(lists, "lists")
     # one row per distinct vector, however many ids ask for it
     names = asking.select(F.col("id").alias("query_id"), F.xxhash64("vec").alias("_hash"), "vec")
     known = found.select(F.xxhash64("vec").alias("_hash"), "vec", F.col("vid").alias("qid"))

@@ -129,3 +129,31 @@ def test_lists_are_read_until_they_hold_enough(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = answers(ann.nearest(df, F.col("id") % 20 == 0, 200, size=5, beam=8, ratio=1.0))
     assert len(got) == 60 and all(len(found) == 200 for found in got.values())
+
+
+def test_a_search_measures_a_bounded_number_of_centroids_at_once(monkeypatch):
+    # a centroid in the middle of others that lie far from each other is among the nearest of all
+    n = 3000
+    around = np.eye(n)[:, :n - 1][:n - 1]
+    hub = ann.Graph(np.vstack([around, np.full((1, n - 1), 1.0 / (n - 1))]))
+    assert hub.links.shape[1] > n // 2 and hub.at_once() * hub.links.shape[1] <= ann.MEASURED
+    assert ann.Graph(np.random.default_rng(1).normal(size=(64, 8))).at_once() == 512
+    # and is made from a bounded number of rows of distances
+    centres = np.random.default_rng(2).normal(size=(300, 8))
+    made, squared = [], ann._squared
+    monkeypatch.setattr(ann, "ROWS", 100)
+    monkeypatch.setattr(ann, "_squared", lambda a, b: made.append(len(a)) or squared(a, b))
+    graph = ann.Graph(centres)
+    assert made == [100] * 3 and np.allclose(graph.apart, ((centres[:, None] - centres[None]) ** 2).sum(axis=2))
+
+
+def test_what_is_read_once_is_not_written(spark, monkeypatch):
+    from millrace.llm import vectors
+
+    written = []
+    for module in (ann, vectors):
+        monkeypatch.setattr(module, "materialize", lambda df, label, *a, f=module.materialize, **b: written.append(label) or f(df, label, *a, **b))
+    x = np.random.default_rng(3).normal(size=(200, 4)).tolist()
+    df = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>")
+    assert ann.nearest(df, F.col("id") % 20 == 0, 5, size=20).count() == 50
+    assert "top" in written and not {"reached", "lists"} & set(written)
