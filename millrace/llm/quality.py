@@ -5,8 +5,8 @@ counted by Arrow and numpy over batches. The kernel is approximated by cosine fe
 frequencies come from a seed, so no model but the weights has to travel. The normal equations are
 summed per partition and fold; their sum over all folds but one scores that fold, so the calibration
 (pool adjacent violators over a fixed histogram of out-of-fold scores) sees no fitted row, and their
-whole sum is the final model. The driver receives `PARTS` x `FOLDS` matrices of a fixed size and one
-histogram, whatever the number of documents. At most `most` labelled rows are used, chosen by hash.
+whole sum is the final model. The driver receives `FOLDS` matrices of a fixed size and one histogram,
+whatever the number of documents. At most `most` labelled rows are used, chosen by hash.
 
 Defined results: null text is empty; empty texts get a score as any other; null labels teach nothing;
 without any label every score is 0.5; repeated rows are scored and learned row by row.
@@ -167,6 +167,9 @@ def _fit(taught: DataFrame) -> Model:
     size = COSINES + 1
 
     def equations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
         total = np.zeros((FOLDS, size, size + 1))
         for batch in batches:
             fold, y = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
@@ -175,10 +178,21 @@ def _fit(taught: DataFrame) -> Model:
                 own = z[fold == k]
                 total[k, :, :size] += own.T @ own
                 total[k, :, size] += own.T @ y[fold == k]
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
-
-    parts = taught.mapInArrow(equations, "sums binary").collect()
-    summed = np.sum([np.frombuffer(r["sums"]).reshape(FOLDS, size, size + 1) for r in parts], axis=0)
+        columns = [pa.array(range(FOLDS), pa.int32()), pa.array([part] * FOLDS, pa.int32()), pa.array([t.tobytes() for t in total], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["fold", "part", "sums"])
+
+    def add(group: pa.Table) -> pa.Table:
+        total = np.zeros(size * (size + 1))
+        # in the order of the parts, so that reruns agree to the last bit
+        for sums in group.sort_by("part").column("sums"):
+            total += np.frombuffer(sums.as_buffer())
+        return pa.table({"fold": group.column("fold").slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
+
+    # summed before they are sent: the driver gets one matrix per fold
+    parts = taught.mapInArrow(equations, "fold int, part int, sums binary")
+    summed = np.zeros((FOLDS, size, size + 1))
+    for r in parts.groupBy("fold").applyInArrow(add, "fold int, sums binary").collect():
+        summed[r["fold"]] = np.frombuffer(r["sums"]).reshape(size, size + 1)
     whole = summed.sum(axis=0)
 
     def solve(m: np.ndarray) -> np.ndarray:

@@ -97,3 +97,22 @@ def test_fit_equals_a_direct_solution(spark):
     got = found.select("doc_id", quality.scores(model, found["stats"]).alias("score")).collect()
     raw = quality.cosines(np.array([r[1] for r in rows]), model.centre, model.scale) @ want
     assert np.allclose([r["score"] for r in sorted(got)], np.clip(np.interp(raw, model.at, model.level), 0, 1), atol=1e-6)
+
+
+def test_only_summed_equations_reach_the_driver(spark, monkeypatch):
+    docs, labels = corpus(300)
+    found = spark.createDataFrame(docs, "doc_id long, text string").select("doc_id", quality.text_statistics(F.col("text")).alias("stats"))
+    lab = spark.createDataFrame(labels, "doc_id long, quality int")
+    sent, collect = [], type(found).collect
+
+    def counted(frame):
+        rows = collect(frame)
+        sent.append(sum(len(v) for r in rows for v in r if isinstance(v, (bytes, bytearray))))
+        return rows
+
+    monkeypatch.setattr(type(found), "collect", counted)
+    models = [quality.fit(found, lab) for _ in range(2)]
+    size = quality.COSINES + 1
+    # the matrices of one part, not of all
+    assert max(sent) == quality.FOLDS * size * (size + 1) * 8
+    assert all((getattr(models[0], f) == getattr(models[1], f)).all() for f in ("weights", "at", "level"))
